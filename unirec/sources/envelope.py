@@ -124,13 +124,14 @@ def encode_events(
     )
 
 
-def serialise(events: DataFrame, prefix: str = "canonical") -> DataFrame:
-    """Envelope columns -> log rows (key, value, topic); nulls are written out."""
+def serialise(events: DataFrame, prefix: str = "canonical", keep: Sequence[str] = ()) -> DataFrame:
+    """Envelope columns -> log rows (key, value, topic, and the columns to keep); nulls are written out."""
     body = F.to_json(F.struct(*EVENT_SCHEMA.names), {"ignoreNullFields": "false"})
     return events.select(
         F.encode("key", "UTF-8").alias("key"),
         F.encode(body, "UTF-8").alias("value"),
         topic_name(F.col("entity"), prefix).alias("topic"),
+        *keep,
     )
 
 
