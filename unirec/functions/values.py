@@ -7,6 +7,7 @@ a column and, where a value can be refused, a boolean column that is true when i
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,26 +75,26 @@ class JsonValue:
     kind: Column    # schema_of_variant text
     text: Column    # text of the value, null for JSON null
 
-    @property
+    @cached_property
     def is_number(self) -> Column:
         return self.kind.startswith("DECIMAL") | self.kind.isin("BIGINT", "DOUBLE")
 
-    @property
+    @cached_property
     def is_string(self) -> Column:
         return self.kind == "STRING"
 
-    @property
+    @cached_property
     def is_boolean(self) -> Column:
         return self.kind == "BOOLEAN"
 
-    @property
+    @cached_property
     def is_nested(self) -> Column:
         return self.kind.startswith("OBJECT") | self.kind.startswith("ARRAY")
 
     def get(self, dtype: str) -> Column:
         return F.try_variant_get(self.value, "$", dtype)
 
-    @property
+    @cached_property
     def truthy(self) -> Column:
         return (
             F.when(self.is_string, self.text != "")

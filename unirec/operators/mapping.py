@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -242,9 +242,7 @@ def _refused(entries: Column, targets: list[Target]) -> Column | None:
 
 def _general(rules: list[SourceRule], targets: list[Target], conditions: dict[str, Column], mode: str) -> Column:
     """The record by the general route, as struct(canonical, errors)."""
-    lookup = _code_lookup(rules, targets, conditions)
-
-    def code(key: Column) -> Column:
+    def code(lookup: Column, key: Column) -> Column:
         forms = (key, F.lower(key), F.upper(key))
         return F.coalesce(*[F.try_element_at(lookup, k) for k in forms])
 
@@ -254,13 +252,14 @@ def _general(rules: list[SourceRule], targets: list[Target], conditions: dict[st
             text_of(entry["value"], entry["kind"], F.col("payload"), entry["key"]).alias("text"),
         )
 
-    # Entries that name a field, newest spelling last in the payload and so first here.
-    entries = F.transform(
-        F.map_entries(F.from_json("payload", "map<string,variant>", JSON_OPTIONS)),
+    # Entries that name a field; the last one of the payload comes first.
+    members = F.map_entries(F.from_json("payload", "map<string,variant>", JSON_OPTIONS))
+    entries = _let(_code_lookup(rules, targets, conditions), lambda lookup: F.transform(
+        members,
         lambda e: F.struct(
-            code(e["key"]).alias("code"), e["key"].alias("key"), e["value"].alias("value"),
+            code(lookup, e["key"]).alias("code"), e["key"].alias("key"), e["value"].alias("value"),
             kind_of(e["value"]).alias("kind")),
-    )
+    ))
     entries = F.transform(F.filter(F.reverse(entries), lambda e: e["code"].isNotNull()), judged)
 
     def field(es: Column, t: Target) -> Column:
@@ -317,21 +316,33 @@ def apply_canonical_mapping(
     if sources is not None:
         wanted = {SOURCE_MAPPINGS.get(s, OTHER_MAPPINGS) for s in sources}
         groups = tuple(g for g in groups if g in wanted)
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    parses, record = _compile(spec, mode, groups)
+    parsed = df.select(*kept, *parses)
+    # A generator of one row: unlike a projection it is never copied into the filters above it, so the
+    # record is worked out once per row.
+    mapped = parsed.select(*kept, record.alias("_record")).select(*kept, F.inline_outer(F.array("_record")))
+    if mode == LENIENT:
+        mapped = mapped.withColumnRenamed("errors", "_errors")
+    return mapped.withColumn("canonical_payload", F.to_json("canonical", {"ignoreNullFields": "false"}))
+
+
+@lru_cache(maxsize=64)
+def _compile(spec: EntitySpec, mode: str, groups: tuple[str, ...]) -> tuple[list[Column], Column]:
+    """(parsed columns, record built from them); the expressions serve any number of plans."""
     rules = compile_rules(spec, groups)
     targets = compile_targets(spec, rules)
     types = {t.name: t.dtype for t in targets}
     conditions = _group_conditions(groups)
-    kept = [F.col(f"`{c}`") for c in df.columns]
     direct_rules = [r for r in rules if r.direct]
 
-    # 1. One parse per row into the struct of its source, and the list of its keys.
-    parsed = df.select(
-        *kept,
+    # One parse per row into the struct of its source, and the list of its keys.
+    parses = [
         F.json_object_keys("payload").alias("_keys"),
         *[F.when(conditions[r.group], _parse_direct(r, types, mode)).alias(f"_direct_{r.group}") for r in direct_rules],
-    )
+    ]
 
-    # 2. Direct values, and whether they may be used for this row.
+    # Direct values, and whether they may be used for this row.
     values: dict[str, list[Column]] = {t.name: [] for t in targets}
     texts: dict[str, list[Column]] = {t.name: [] for t in targets}
     settled = F.lit(False)
@@ -343,10 +354,10 @@ def apply_canonical_mapping(
         if rule.has_casts and mode == STRICT:
             ok = ok & (F.size(F.array_distinct(keys)) == F.size(keys))
         for name, raw in _direct_raw(rule).items():
-            value, doubtful = _direct_value(raw, rule.direct[name][1], types[name], mode)
+            op = rule.direct[name][1]
+            value, doubtful = _direct_value(raw, op, types[name], mode)
             values[name].append(value)
-            is_variant = rule.direct[name][1] == "int"
-            texts[name].append(F.try_variant_get(raw, "$", "string") if is_variant else raw.cast("string"))
+            texts[name].append(F.try_variant_get(raw, "$", "string") if op == "int" else raw.cast("string"))
             if doubtful is not None:
                 ok = ok & ~doubtful
         settled = F.when(conditions[rule.group], F.coalesce(ok, F.lit(False))).otherwise(settled)
@@ -355,25 +366,23 @@ def apply_canonical_mapping(
     def first(columns: list[Column], dtype: T.DataType) -> Column:
         return F.coalesce(*columns) if columns else no_value(dtype)
 
-    direct = [first(values[t.name], t.dtype).alias(t.name) for t in visible]
+    direct = F.struct(*[first(values[t.name], t.dtype).alias(t.name) for t in visible])
     if mode == STRICT:
-        answer = F.struct(F.struct(*direct).alias("canonical"))
+        answer = F.struct(direct.alias("canonical"))
     else:
-        answer = _let(F.struct(*direct), lambda d: F.struct(
+        answer = _let(direct, lambda d: F.struct(
             d.alias("canonical"),
-            _errors([(t.name, first(texts[t.name], T.StringType()), d[t.name]) for t in visible])
-            .alias("errors"),
+            _errors([(t.name, first(texts[t.name], T.StringType()), d[t.name]) for t in visible]).alias("errors"),
         ))
-
-    # 3. The general route is evaluated only where the direct one may not be used.
-    routed = parsed.select(
-        *kept,
-        F.when(F.col("payload").isNull() | (F.col("payload") == ""), F.lit(None))
-        .when(settled, answer).otherwise(_general(rules, targets, conditions, mode)).alias("_record"),
-    )
-    extra = [F.coalesce("_record.errors", F.array().cast("array<string>")).alias("_errors")] if mode == LENIENT else []
-    result = routed.select(*kept, F.col("_record.canonical").alias("canonical"), *extra)
-    return result.withColumn("canonical_payload", F.to_json("canonical", {"ignoreNullFields": "false"}))
+    empty = [F.struct(*[no_value(t.dtype).alias(t.name) for t in visible]).alias("canonical")]
+    if mode == LENIENT:
+        empty.append(F.array().cast("array<string>").alias("errors"))
+
+    # The general route is evaluated only where the direct one may not be used.
+    general = _general(rules, targets, conditions, mode)
+    no_payload = F.col("payload").isNull() | (F.col("payload") == "")
+    record = F.when(~no_payload, F.when(settled, answer).otherwise(general))
+    return parses, F.coalesce(record, F.struct(*empty))
 
 
 def expand_canonical_fields(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from unirec.plans import event_queries, mapping_queries
+from unirec.plans import discovery_queries, event_queries, mapping_queries, merge_queries, scan_queries
 
-MODULES = (event_queries, mapping_queries)
+MODULES = (event_queries, mapping_queries, merge_queries, scan_queries, discovery_queries)
 
 
 def queries() -> dict:
