@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from unirec.functions.values import kind_of
@@ -58,12 +58,12 @@ def infer_json_columns(docs: DataFrame, column: str, group: Sequence[str] = ())
         F.sum("n").alias("n_values"),
         F.sum(F.when(F.col("type") == "null", F.col("n")).otherwise(0)).alias("n_nulls"),
     )
-    rows = folded.filter(F.col("name").isNull()).select(*group, F.col("n_values").alias("row_count"))
-    columns = folded.filter(F.col("name").isNotNull()).select(
+    # What is left has one row per column, so the group's row count is spread over few rows.
+    whole_group = Window.partitionBy(*(group or [F.lit(0)]))
+    counted_rows = F.max(F.when(F.col("name").isNull(), F.col("n_values"))).over(whole_group)
+    return folded.withColumn("row_count", counted_rows).filter(F.col("name").isNotNull()).select(
         *group, "name", common_type(F.col("types")).alias("data_type"), "n_values", "n_nulls",
-        (F.col("name") == "id").alias("is_primary_key"),
-    )
-    return columns.join(rows, group) if group else columns.withColumn("row_count", rows.scalar())
+        (F.col("name") == "id").alias("is_primary_key"), "row_count")
 
 
 def merge_key_candidates(df: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:

@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from unirec.sources.envelope import encode_events, serialise, with_position
 from unirec.spec import EntitySpec
@@ -21,9 +22,16 @@ SOURCE_NUMBER = {"postgres": 0, "sqlserver": 1, "teradata": 2}
 DATABASES = {"postgres": "customers_db", "sqlserver": "CRM_DB", "teradata": "warehouse"}
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the files once."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def at(seconds: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from unirec.functions.shared import stored
 from unirec.operators.counts import catalog_summary
 from unirec.operators.match import (
     active_sources, canonical_fields, match_entities, matched_columns, propose_fields, propose_mappings,
@@ -56,7 +57,8 @@ FROM (VALUES ('id', 'integer'), ('value', 'float'), ('day', 'date'), ('note', 's
 def source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue of the sources as the log shows them: every key that occurs in a table's payloads."""
     events = all_events(spark, sf_dir).withColumnRenamed("source_table", "table")
-    return infer_json_columns(events, "payload", ("source", "table"))
+    # A catalogue is small and used several times by what follows, so it is worked out once.
+    return stored(infer_json_columns(events, "payload", ("source", "table")), "catalog")
 
 
 def infer_source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

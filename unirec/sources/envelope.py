@@ -137,22 +137,25 @@ def serialise(events: DataFrame, prefix: str = "canonical", keep: Sequence[str]
 
 def decode_events(log: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Log rows -> the 11 decoded columns.  ``keep_raw`` adds ``raw_value`` for the dead-letter split."""
-    raw = [F.col("value").alias("raw_value"), F.col("topic").alias("raw_topic")] if keep_raw else []
+    raw = ["raw_value", "raw_topic"] if keep_raw else []
     parsed = log.select(
         F.col("offset").alias("kafka_offset"),
         F.col("partition").alias("kafka_partition"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("event"),
-        *raw,
+        F.col("value").alias("raw_value"),
+        F.col("topic").alias("raw_topic"),
     )
-    return parsed.select(
-        "kafka_offset", "kafka_partition", "kafka_timestamp",
-        "event.event_id", "event.event_type", "event.source", "event.entity",
-        F.col("event.timestamp").alias("event_timestamp"),
-        "event.payload",
-        F.col("event.metadata.table").alias("source_table"),
-        F.col("event.metadata.database").alias("source_database"),
-        *[c for c in ("raw_value", "raw_topic") if keep_raw],
+    # A generator of one row keeps later filters on event fields from parsing the value once more.
+    opened = parsed.select(
+        "kafka_offset", "kafka_partition", "kafka_timestamp", *raw, F.inline_outer(F.array("event")))
+    return opened.select(
+        "kafka_offset", "kafka_partition", "kafka_timestamp", "event_id", "event_type", "source", "entity",
+        F.col("timestamp").alias("event_timestamp"),
+        "payload",
+        F.col("metadata.table").alias("source_table"),
+        F.col("metadata.database").alias("source_database"),
+        *raw,
     )
 
 

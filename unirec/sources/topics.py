@@ -52,8 +52,8 @@ def publish_to_kafka(events: DataFrame, bootstrap_servers: str, prefix: str = DE
 def _log_glob(path: str, entities: Sequence[str] | None, prefix: str) -> str:
     if entities is None:
         return f"{path}/topic=*"
-    names = topics_of(entities, prefix)
-    return f"{path}/topic={names[0]}" if len(names) == 1 else f"{path}/topic={{{','.join(names)}}}"
+    # Always a glob: a stream takes a plain folder as its own base path and loses the topic column.
+    return f"{path}/topic={{{','.join(topics_of(entities, prefix))}}}"
 
 
 def file_log(spark: SparkSession, path: str, entities: Sequence[str] | None = None, prefix: str = DEFAULT_PREFIX) -> DataFrame:
