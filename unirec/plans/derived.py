@@ -34,6 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table that is read by fewer tasks than there are cores (one small file) is spread over them,
+    because encoding and mapping cost far more than the shuffle.  Tables of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def at(seconds: Column) -> Column:
     """Seconds after 2024-01-01 as a timestamp."""
     return F.timestamp_seconds(F.lit(1704067200) + seconds)
@@ -213,7 +220,7 @@ def source_events(
 ) -> DataFrame:
     """Envelope columns of one source of one entity (of all its rows unless given)."""
     name, _, key, time = SOURCES[entity][source]
-    rows = source_rows(spark, sf_dir, entity, source) if rows is None else rows
+    rows = spread(source_rows(spark, sf_dir, entity, source) if rows is None else rows)
     when = F.col(time) if time else F.lit("2024-01-01 00:00:00").cast("timestamp")
     return encode_events(
         rows, source, entity, event_type, table=name, database=DATABASES[source],

@@ -11,7 +11,7 @@ from unirec.operators.match import (
     active_sources, canonical_fields, match_entities, matched_columns, propose_fields, propose_mappings,
 )
 from unirec.operators.profile import infer_json_columns, merge_key_candidates
-from unirec.plans.derived import SOURCES, SPECS, table
+from unirec.plans.derived import SOURCES, SPECS, spread, table
 from unirec.plans.event_queries import all_events
 from unirec.sources.catalog import row_counts, table_catalog
 
@@ -32,7 +32,7 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def infer_json_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column types of JSON documents over all rows, with mixed and missing values."""
-    docs = table(spark, sf_dir, "events").select("event_type", F.to_json(F.struct(
+    docs = spread(table(spark, sf_dir, "events")).select("event_type", F.to_json(F.struct(
         F.col("event_id").alias("id"),
         "value",
         F.date_format("ts", "yyyy-MM-dd").alias("day"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unirec.operators.mapping import apply_canonical_mapping, canonicalise
-from unirec.plans.derived import INGEST_DATE, SPECS, entity_log, table
+from unirec.plans.derived import INGEST_DATE, SPECS, entity_log, spread, table
 from unirec.plans.sql import CUSTOMER_ROWS, ISO, ORDER_ROWS, canonical
 from unirec.sources.envelope import decode_events
 from unirec.spec import EntitySpec
@@ -89,7 +89,7 @@ def json_object(*members: tuple[Column | str, Column]) -> Column:
 
 
 def map_rows(df: DataFrame, payload: Column, spec: EntitySpec, mode: str = "strict", keep: Column | None = None) -> DataFrame:
-    rows = df.select(
+    rows = spread(df).select(
         payload.alias("payload"), F.lit("postgres").alias("source"), *([] if keep is None else [keep.alias("row_key")]))
     mapped = apply_canonical_mapping(rows, spec, mode)
     extra = [F.array_join("_errors", ",").alias("errors")] if mode == "lenient" else []

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import new_folder
-from unirec.plans.derived import SOURCES, as_log, source_rows, table
+from unirec.plans.derived import SOURCES, as_log, source_rows, spread, table
 from unirec.plans.sql import customer_time
 from unirec.sources.envelope import decode_events, encode_events
 from unirec.sources.scan import highest_timestamp, incremental_scan, lower_case_columns, unwrap_records
@@ -80,7 +80,7 @@ FROM e GROUP BY event_type
 
 def documents_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of order rows as a REST source would answer them, in the containers such sources use."""
-    orders = table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders")).select(
         "o_orderpriority", F.floor(F.col("o_orderkey") / PAGE_ROWS).alias("page"), F.to_json(F.struct(
             F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("total"),
             F.col("o_orderstatus").alias("status"))).alias("record"))

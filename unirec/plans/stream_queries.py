@@ -33,7 +33,7 @@ def write_log(spark: SparkSession, sf_dir: str, folder: str, entity: str, source
 
 
 def run_entity(
-    spark: SparkSession, sf_dir: str, spec, sinks: Sequence[str], files: int | None = 1,
+    spark: SparkSession, sf_dir: str, spec, sinks: Sequence[str], split: bool = True,
     sources: Sequence[str] | None = None, **options,
 ):
     folder = new_folder(spark, f"stream-{spec.name}")
@@ -41,26 +41,28 @@ def run_entity(
     stream = EntityStream(
         spark, spec, folder, ingest_date=INGEST_DATE, batch_timestamp=BATCH_STAMP,
         sources=tuple(sources or SOURCES[spec.name]), **options)
+    # A source is written as one file per core: with that limit it makes one batch.
+    files = spark.sparkContext.defaultParallelism if split else None
     query = stream.start(file_log_stream(spark, log, [spec.name], max_files_per_trigger=files), sinks, ALL_NOW)
     query.awaitTermination()
     return stream, query
 
 
 def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream, _ = run_entity(spark, sf_dir, CUSTOMER, ["raw"], None)
+    stream, _ = run_entity(spark, sf_dir, CUSTOMER, ["raw"], split=False)
     return stream.read_raw().select(
         "event_type", "source", "entity", "event_timestamp", "source_table", "source_database", "_ingest_date")
 
 
 def stream_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per batch; the newest event of a key stays, however the batches fall."""
+    """Several batches; the newest event of a key stays, however the batches fall."""
     stream, _ = run_entity(spark, sf_dir, CUSTOMER, ["canonical"], mode="event_time")
     return stream.read_canonical().drop(*POSITION)
 
 
 def stream_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files in one batch: inside a batch the newest event of a key wins."""
-    stream, _ = run_entity(spark, sf_dir, ORDER, ["canonical"], None)
+    stream, _ = run_entity(spark, sf_dir, ORDER, ["canonical"], split=False)
     return stream.read_canonical().drop(*POSITION)
 
 
