@@ -64,7 +64,7 @@ def unwrap_records(docs: DataFrame, column: str, keep: tuple[str, ...] = ()) ->
     listed = docs.select(
         *keep,
         (keys.isNull() & F.get_json_object(F.get(items, F.lit(0)), "$.text").isNotNull()).alias("_blocks"),
-        F.explode(items).alias("_item"),
+        F.explode_outer(items).alias("_item"),  # empty documents fall to the filter below
     )
     text = F.get_json_object("_item", "$.text")
     record = F.when(~F.col("_blocks"), F.col("_item")).when(F.try_parse_json(text).isNotNull(), text)
