@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="unirec-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``; a local one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +21,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="unirec-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -2,11 +2,12 @@
 
 Every batch adds its newest row per key to the log, in a folder of its own, so a replayed batch
 replaces itself.  Reading lays the log over the base.  ``compact`` writes the merged rows as a new base,
-bucketed and sorted by the keys: the overlay join then reads the base in place, without a shuffle.
+bucketed and sorted by the keys: with at least as many buckets as shuffle partitions the overlay join
+reads the base in place and shuffles only the changes.
 
     <path>/changes/_run=R/_batch_id=B/       rows of one batch
     <path>/quarantine/_run=R/_batch_id=B/    rows with a null key
-    <path>/base/through-R-B/                 all changes up to and including batch B of run R
+    <path>/base/through-R-B-of-N/            all changes up to and including batch B of run R, in N buckets
 
 One writer at a time: batches and compactions of a table must not overlap.
 """
@@ -29,7 +30,7 @@ from unirec.operators.upsert import (
 from unirec.sinks.raw import batch_folder
 
 RUN, BATCH = "_run", "_batch_id"
-BASE_NAME = re.compile(r"through-(\d+)-(\d+)")
+BASE_NAME = re.compile(r"through-(\d+)-(\d+)-of-(\d+)")
 
 
 class GoldenTable:
@@ -91,33 +92,39 @@ class GoldenTable:
 
     # --- reading ---
 
-    def _base_version(self) -> tuple[int, int] | None:
-        """Newest base whose write was completed."""
+    def _base_version(self) -> tuple[int, int, int] | None:
+        """(run, batch, buckets) of the newest base whose write was completed."""
         versions = []
         for name in child_names(self.spark, f"{self.path}/base"):
             match = BASE_NAME.fullmatch(name)
             if match and path_exists(self.spark, f"{self.path}/base/{name}/_SUCCESS"):
-                versions.append((int(match[1]), int(match[2])))
+                versions.append(tuple(int(g) for g in match.groups()))
         return max(versions, default=None)
 
-    def _base(self, version: tuple[int, int]) -> DataFrame:
-        """The base as a bucketed table, registered in the session when it is not yet known."""
-        location = f"{self.path}/base/through-{version[0]}-{version[1]}"
-        name = "unirec_base_" + re.sub(r"[^0-9a-zA-Z]", "_", location).strip("_").lower()
+    def _base_location(self, version: tuple[int, int, int]) -> str:
+        return "{}/base/through-{}-{}-of-{}".format(self.path, *version)
+
+    def _base(self, version: tuple[int, int, int]) -> DataFrame:
+        """The base as a bucketed table, registered in the session when it is not yet known.
+
+        The number of buckets is the one it was written with, whatever the session's settings are now.
+        """
+        location = self._base_location(version)
+        name = _table_name("base", location)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.base_schema.fields)
             keys = ", ".join(f"`{k}`" for k in self.keys)
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
-                f"INTO {self.buckets} BUCKETS LOCATION '{location}'")
+                f"INTO {version[2]} BUCKETS LOCATION '{location}'")
         return self.spark.table(name)
 
-    def _changes(self, after: tuple[int, int] | None) -> DataFrame | None:
+    def _changes(self, after: tuple[int, int, int] | None) -> DataFrame | None:
         if self.last_batch() is None:
             return None
         log = self.spark.read.schema(self.base_schema).parquet(f"{self.path}/changes")
         if after is not None:
-            run, batch = after
+            run, batch, _ = after
             log = log.filter((F.col(RUN) > run) | ((F.col(RUN) == run) & (F.col(BATCH) > batch)))
         return log
 
@@ -152,14 +159,18 @@ class GoldenTable:
 
     def compact(self) -> None:
         """Fold the log into a new base.  Tombstones stay, so that late events cannot revive a row."""
-        last = self.last_batch()
-        if last is None or last == self._base_version():
+        last, version = self.last_batch(), self._base_version()
+        if last is None or (version is not None and version[:2] == last):
             return
-        location = f"{self.path}/base/through-{last[0]}-{last[1]}"
-        name = "unirec_write_" + re.sub(r"[^0-9a-zA-Z]", "_", location).strip("_").lower()
+        location = self._base_location((*last, self.buckets))
+        name = _table_name("write", location)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         (self._all_rows().select(*self.base_schema.names)
          .repartition(self.buckets, *self.keys)
          .write.mode("overwrite").option("path", location)
          .bucketBy(self.buckets, *self.keys).sortBy(*self.keys).saveAsTable(name))
         self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
+
+
+def _table_name(purpose: str, location: str) -> str:
+    return f"unirec_{purpose}_" + re.sub(r"[^0-9a-zA-Z]", "_", location).strip("_").lower()
