@@ -15,7 +15,10 @@ from unirec.plans.derived import SOURCES, SPECS, spread, table
 from unirec.plans.event_queries import all_events
 from unirec.sources.catalog import row_counts, table_catalog
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 
 
 def given_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -160,7 +163,7 @@ WHERE canonical_name <> 'event' AND name NOT IN ('FullName', 'created_ts')
 
 
 def merge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(table(spark, sf_dir, "lineitem"))
     by_line = merge_key_candidates(items, [
         ["l_orderkey"], ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
         ["l_returnflag"]]).withColumn("table", F.lit("lineitem"))
