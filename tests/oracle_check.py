@@ -55,7 +55,7 @@ if __name__ == "__main__":
     sys.path.insert(0, "/root/repo")
     from pyspark.sql import SparkSession
 
-    from unirec.plans.registry import oracle_sql, queries
+    from __spark_entry__ import oracle_sql, queries
 
     sf = sys.argv[1]
     names = sys.argv[2:]
