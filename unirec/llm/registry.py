@@ -10,6 +10,7 @@ from unirec.llm.digest_index import exact_dedup
 from unirec.llm.mixing import taken_words
 from unirec.llm.sharding import write_shards
 from unirec.llm.text import table
+from unirec.llm.token_codec import read_ids, write_ids
 
 SHARD_BYTES = 64 * 1024 * 1024
 MIX_BLOCK_WORDS = 512
@@ -21,6 +22,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_folder(spark, "tokens")
+    write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 0, path)
+    return read_ids(spark, path)
+
+
 def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the shards and reads them back: doc_id, n_bytes, shard, depth, shard_bytes."""
     path = new_folder(spark, "shards")
@@ -36,6 +45,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_token_ids": op4_token_ids,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_mixing": op9_mixing,
 }
