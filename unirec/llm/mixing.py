@@ -47,50 +47,65 @@ def permuted(index: Column, n: Column, *seed: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index, one_round)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def hypergeometric(u: Column, total: Column, good: Column, draws: Column) -> Column:
     """How many of ``draws`` taken from ``total`` are among the ``good``: inversion, outward from the mode.
 
     The weights follow from their neighbours, starting with 1 at the mode.  The walk covers 12 standard deviations
     and 30 places either way; what is beyond is too small for a double.
     """
-    n, good_, draws_ = total.cast("double"), good.cast("double"), draws.cast("double")
-    low = F.greatest(F.lit(0), draws - (total - good))
-    high = F.least(good, draws)
-    mode = F.least(high, F.greatest(low, F.floor((good_ + 1) * (draws_ + 1) / (n + 2)).cast("long")))
-    share = good_ / F.greatest(n, F.lit(1.0))
-    deviation = F.sqrt(draws_ * share * (1 - share) * (n - draws_) / F.greatest(n - 1, F.lit(1.0)))
-    span = F.ceil(deviation * 12 + 30).cast("long")
-
-    def up(k: Column) -> Column:  # weight of k+1 over weight of k
-        return (good - k) * (draws - k) / ((k + 1) * (total - good - draws + k + 1))
-
-    def down(k: Column) -> Column:  # weight of k-1 over weight of k
-        return k * (total - good - draws + k) / ((good - k + 1) * (draws - k + 1))
-
-    def walk(steps: Column, ratio, aim: Column | None, start_sum: Column) -> Column:
-        """Sums the weights along ``steps``; with ``aim``, notes the first place where the sum reaches it."""
-        begin = F.struct(F.lit(1.0).alias("w"), start_sum.alias("s"), F.lit(None).cast("long").alias("k"))
-
-        def step(acc: Column, k: Column) -> Column:
-            w = acc["w"] * ratio(k)
-            s = acc["s"] + w
-            to = k + (1 if ratio is up else -1)
-            found = acc["k"] if aim is None else F.when(acc["k"].isNull() & (s >= aim), to).otherwise(acc["k"])
-            return F.struct(w.alias("w"), s.alias("s"), found.cast("long").alias("k"))
-
-        return F.aggregate(steps, begin, step)
-
-    def places(first: Column, last: Column, by: int) -> Column:
-        going = first <= last if by > 0 else first >= last
-        return F.when(going, F.sequence(first, last, F.lit(by).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-
-    ups = places(mode, F.least(high, mode + span) - 1, 1)
-    downs = places(mode, F.greatest(low, mode - span) + 1, -1)
-    above = walk(ups, up, None, F.lit(1.0))["s"]
-    below = walk(downs, down, None, F.lit(0.0))["s"]
-    aim = u * (above + below)
-    return F.when(aim <= 1, mode).otherwise(
-        F.coalesce(walk(ups, up, aim, F.lit(1.0))["k"], walk(downs, down, aim, above)["k"], mode))
+    def ranges(c: Column) -> Column:
+        n, g, d = c["total"].cast("double"), c["good"].cast("double"), c["draws"].cast("double")
+        low = F.greatest(F.lit(0).cast("long"), c["draws"] - c["total"] + c["good"])
+        high = F.least(c["good"], c["draws"])
+        mode = F.least(high, F.greatest(low, F.floor((g + 1) * (d + 1) / (n + 2)).cast("long")))
+        share = g / F.greatest(n, F.lit(1.0))
+        span = F.ceil(F.sqrt(d * share * (1 - share) * (n - d) / F.greatest(n - 1, F.lit(1.0))) * 12 + 30).cast("long")
+        return F.struct(c["total"].alias("total"), c["good"].alias("good"), c["draws"].alias("draws"), low.alias("low"), high.alias("high"),
+                        mode.alias("mode"), span.alias("span"))
+
+    def drawn(c: Column) -> Column:
+        rest = c["total"] - c["good"] - c["draws"]
+
+        def up(k: Column) -> Column:  # weight of k+1 over weight of k
+            return (c["good"] - k) * (c["draws"] - k) / ((k + 1) * (rest + k + 1))
+
+        def down(k: Column) -> Column:  # weight of k-1 over weight of k
+            return k * (rest + k) / ((c["good"] - k + 1) * (c["draws"] - k + 1))
+
+        def places(first: Column, last: Column, by: int) -> Column:
+            going = first <= last if by > 0 else first >= last
+            return F.when(going, F.sequence(first, last, F.lit(by).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+
+        def weighed(steps: Column, ratio) -> Column:
+            begin = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"))
+            return F.aggregate(steps, begin, lambda a, k: let(
+                a["w"] * ratio(k), lambda w: F.struct(w.alias("w"), (a["s"] + w).alias("s"))))["s"]
+
+        def reached(steps: Column, ratio, aim: Column, by: int) -> Column:
+            """The first place where the running weight reaches ``aim``; null if none does."""
+            begin = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"), F.lit(None).cast("long").alias("k"))
+            return F.aggregate(steps, begin, lambda a, k: let(a["w"] * ratio(k), lambda w: F.struct(
+                w.alias("w"), (a["s"] + w).alias("s"),
+                F.coalesce(a["k"], F.when(a["s"] + w >= aim, k + by)).cast("long").alias("k"))))["k"]
+
+        ups = places(c["mode"], F.least(c["high"], c["mode"] + c["span"]) - 1, 1)
+        downs = places(c["mode"], F.greatest(c["low"], c["mode"] - c["span"]) + 1, -1)
+        sums = F.struct(ups.alias("ups"), downs.alias("downs"), weighed(ups, up).alias("above"), weighed(downs, down).alias("below"))
+
+        def chosen(t: Column) -> Column:
+            aim = u * (1 + t["above"] + t["below"])
+            return F.when(aim <= 1, c["mode"]).when(aim <= 1 + t["above"], F.coalesce(reached(t["ups"], up, aim - 1, 1), c["mode"])).otherwise(
+                F.coalesce(reached(t["downs"], down, aim - 1 - t["above"], -1), c["mode"]))
+
+        return let(sums, chosen)
+
+    given = F.struct(total.alias("total"), good.alias("good"), draws.alias("draws"))
+    return let(given, lambda g: let(ranges(g), drawn))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:

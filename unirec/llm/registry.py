@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import new_folder
+from unirec.llm.decontaminate import decontaminate
 from unirec.llm.digest_index import exact_dedup
 from unirec.llm.mixing import taken_words
 from unirec.llm.sharding import write_shards
@@ -18,6 +19,10 @@ MIX_SHARD_BLOCKS = 4096
 MIX_SEED = 20240101
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_token_ids": op4_token_ids,
     "op8_extendible_sharding": op8_extendible_sharding,
@@ -51,7 +57,22 @@ QUERIES = {
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLES = {
+    "op1_decontaminate": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT item_id, {_WORDS} AS w, least(13, len({_WORDS})) AS n FROM benchmark),
+        win AS (SELECT DISTINCT item_id, n, array_to_string(w[j:j + n - 1], ' ') AS g
+                FROM i, unnest(range(1, len(w) - n + 2)) t(j) WHERE n > 0),
+        grams AS (SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS g
+                  FROM d, (SELECT DISTINCT n FROM win), unnest(range(1, len(w) - n + 2)) t(k)),
+        hit AS (SELECT r, item_id, k, n FROM grams JOIN win USING (n, g)),
+        marked AS (SELECT r, count(DISTINCT p) AS n_hit FROM hit, unnest(range(k, k + n)) t(p) GROUP BY r),
+        ids AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+                FROM (SELECT DISTINCT r, item_id::VARCHAR AS item_id FROM hit) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN marked USING (r) LEFT JOIN ids USING (r)""",
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_LOWERED}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
