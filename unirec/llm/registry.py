@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from unirec.functions.shared import new_folder
 from unirec.llm.decontaminate import decontaminate
 from unirec.llm.digest_index import exact_dedup
+from unirec.llm.language import held_out, identify, language_model
 from unirec.llm.mixing import taken_words
 from unirec.llm.sharding import write_shards
 from unirec.llm.text import table
@@ -27,6 +28,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, language_model(docs), ["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -51,6 +58,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language_id": op3_language_id,
     "op4_token_ids": op4_token_ids,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_mixing": op9_mixing,
