@@ -10,7 +10,7 @@ A block is one binary value; blocks are rows of a Parquet table, which Spark com
 then the checkpoints u64 and the payload.  The code book is a table token, bits beside it.
 
 Null text counts as empty; a null doc_id comes first; rows that repeat a doc_id are documents of their own, in order
-of length and content; extra columns are ignored; an empty table gives no blocks.
+of their texts; extra columns are ignored; an empty table gives no blocks.
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ HEADER = struct.Struct("<4sIQIQ")
 # A space beside another space or control character or at an end of the text, or white space beyond ASCII.
 UNEVEN = r"[\x00-\x20] | [\x00-\x20]|\A | \z|[\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 TAIL = frozenset(".,;:!?")
+SPARE = "."
 CACHE_PIECES = 500_000
 
 
@@ -56,25 +57,43 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        # By whether a space comes before the piece.
+        self.known: dict[bool, dict[str, list[int]]] = {True: {}, False: {"": []}}
+        # In the byte-level alphabet a token has one character for each byte.
+        names = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(names.values()) + 1, np.int64)
+        self.width[list(names.values())] = list(map(len, names))
+        self.tails = {mark: self.whole(mark) for mark in TAIL}
 
     def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def piece_ids(self, pieces: list[str]) -> list[list[int]]:
-        """The cache keeps the pieces that came first; beyond its size, pieces are kept for one batch."""
-        known, new = self.known, {}
-        missing = [p for p in pieces if p not in known]
-        tailed = {p for p in missing if p[-1:] in TAIL and p[-2:-1].isascii() and p[-2:-1].isalpha()}
-        wanted = dict.fromkeys(p[:-1] if p in tailed else p for p in missing)
-        wanted.update(dict.fromkeys(TAIL))
-        bare = [p for p in wanted if p not in known]
-        for start in range(0, len(bare), 4096):
-            part = bare[start:start + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                new[p] = e.ids
-        get = lambda p: known.get(p) or new.get(p) or []  # noqa: E731  an empty piece has no ids
-        out = [get(p[:-1]) + get(p[-1]) if p in tailed else get(p) for p in pieces]
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def spaced_ids(self, words: list[str]) -> dict[str, list[int]]:
+        """Ids of words with a space before each: a row of them is encoded at once and cut at the words' bytes."""
+        out = {}
+        for start in range(0, len(words), 2000):
+            part = words[start:start + 2000]
+            ids = self.whole(" " + " ".join(part))
+            ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in part), np.int64, len(part)))
+            cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
+            begin = 0
+            for w, end in zip(part, cuts.tolist()):
+                out[w] = ids[begin:end]
+                begin = end
+        return out
+
+    def piece_ids(self, pieces: list[str], spaced: bool) -> list[list[int]]:
+        """The cache keeps the words that came first; beyond its size, words are kept for one batch."""
+        known = self.known[spaced]
+        out = [known.get(p) for p in pieces]
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        bare = [pieces[i][:-1] if pieces[i][-1] in TAIL and pieces[i][-2:-1].isascii() and pieces[i][-2:-1].isalpha() else pieces[i] for i in missing]
+        wanted = [p for p in dict.fromkeys(bare) if p not in known]
+        new = self.spaced_ids(wanted) if spaced else {p: self.whole(p) for p in wanted}
+        for i, p in zip(missing, bare):
+            ids = known.get(p)
+            ids = new[p] if ids is None else ids
+            out[i] = ids if len(p) == len(pieces[i]) else ids + self.tails[pieces[i][-1]]
         if len(known) < CACHE_PIECES:
             known.update(new)
         return out
@@ -86,11 +105,12 @@ class ByteBpe:
         plain = texts if not whole.any() else pc.if_else(pa.array(whole), "", texts)
         lists = pc.split_pattern(plain, " ")
         flat, first = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        coded, heads = flat.dictionary_encode(), flat.take(pa.array(first[:-1])).dictionary_encode()
+        heads = flat.take(pa.array(first[:-1])).dictionary_encode()
+        coded = pc.if_else(pc.equal(pc.binary_length(flat), 0), SPARE, flat).dictionary_encode()  # only a text may be empty
         # The first piece of a text has no space before it, the others have.
         code = coded.indices.to_numpy(zero_copy_only=False).copy()
         code[first[:-1]] = len(coded.dictionary) + heads.indices.to_numpy(zero_copy_only=False)
-        ids = self.piece_ids([" " + p for p in coded.dictionary.to_pylist()] + heads.dictionary.to_pylist())
+        ids = self.piece_ids(coded.dictionary.to_pylist(), True) + self.piece_ids(heads.dictionary.to_pylist(), False)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         begin = np.cumsum(size) - size
         bank = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
@@ -232,8 +252,8 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         bpe = _tokenizer(tokenizer_path)
         kind = np.uint16 if bpe.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE * 8):
-                batch = whole.slice(at, SLICE * 8)
+            for at in range(0, whole.num_rows, SLICE * 12):
+                batch = whole.slice(at, SLICE * 12)
                 ids, counts = bpe.encode(batch.column(1))
                 n = len(counts)
                 ends = np.cumsum(counts + 1)
@@ -251,8 +271,9 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - counts)], names=["doc_id", "n_tokens", "ids", "part", "before"])
             before = int(ends[-1]) if len(ends) else before
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", F.crc32("ids"))
+    # Dealt before they are tokenised: to find the ranges, Spark reads its input once more.
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
+    dealt = dealt.sortWithinPartitions("doc_id", "text").mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
     dealt = dealt.withColumn("part", F.spark_partition_id())
     return stored(dealt.mapInArrow(place, "doc_id long, n_tokens long, ids binary, part int, before long"), "token-ids")
 
