@@ -10,6 +10,7 @@ from unirec.llm.decontaminate import decontaminate
 from unirec.llm.digest_index import exact_dedup
 from unirec.llm.language import held_out, identify, language_model
 from unirec.llm.mixing import taken_words
+from unirec.llm.probminhash import near_duplicates
 from unirec.llm.sharding import write_shards
 from unirec.llm.text import table
 from unirec.llm.token_codec import read_ids, write_ids
@@ -55,6 +56,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(table(spark, sf_dir, "documents"), MIX_BLOCK_WORDS, MIX_SHARD_BLOCKS, MIX_SEED)
 
 
+def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
@@ -62,6 +67,7 @@ QUERIES = {
     "op4_token_ids": op4_token_ids,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_mixing": op9_mixing,
+    "op10_probminhash": op10_probminhash,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
