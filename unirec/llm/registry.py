@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import new_folder
+from unirec.llm.bilinear import score_documents
 from unirec.llm.decontaminate import decontaminate
 from unirec.llm.digest_index import exact_dedup
 from unirec.llm.language import held_out, identify, language_model
@@ -43,6 +44,10 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path)
 
 
+def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the shards and reads them back: doc_id, n_bytes, shard, depth, shard_bytes."""
     path = new_folder(spark, "shards")
@@ -65,6 +70,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language_id": op3_language_id,
     "op4_token_ids": op4_token_ids,
+    "op7_log_bilinear": op7_log_bilinear,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_mixing": op9_mixing,
     "op10_probminhash": op10_probminhash,
