@@ -223,7 +223,8 @@ def mix(docs: DataFrame, block_words: int, shard_blocks: int, seed: int) -> tupl
     slots = leaves.select("shard", "s", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("g"))
     order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "shard", "s", "g"), "s", "g")
     slots = slots.withColumn("place", F.row_number().over(order) - 1)
-    draws = both.join(slots, ["s", "g"]).select("shard", "place", "row_id", "first_word", "n_words", "in_pass")
+    # A plain merge: the planner takes the exploded ranges for as small as the table they come from.
+    draws = both.join(slots.hint("merge"), ["s", "g"]).select("shard", "place", "row_id", "first_word", "n_words", "in_pass")
     return placed.select("row_id", "doc_id", "size", "source_size", "target"), draws
 
 
