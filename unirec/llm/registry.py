@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unirec.functions.shared import new_folder
+from unirec.functions.shared import new_folder, stored
 from unirec.llm.bilinear import score_documents
 from unirec.llm.decontaminate import decontaminate
 from unirec.llm.digest_index import exact_dedup
+from unirec.llm.fixity import archive, audit, decayed
 from unirec.llm.language import held_out, identify, language_model
 from unirec.llm.mixing import taken_words
 from unirec.llm.probminhash import near_duplicates
@@ -17,6 +18,7 @@ from unirec.llm.text import table
 from unirec.llm.token_codec import read_ids, write_ids
 
 SHARD_BYTES = 64 * 1024 * 1024
+DECAY_EVERY = 50
 MIX_BLOCK_WORDS = 512
 MIX_SHARD_BLOCKS = 4096
 MIX_SEED = 20240101
@@ -44,6 +46,13 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path)
 
 
+def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive of all pages against a replica of it that has decayed: the damaged records and where they are."""
+    records = stored(archive(table(spark, sf_dir, "pages")), "warc")
+    found = audit(records, decayed(records, DECAY_EVERY))
+    return records.select("page_id", "offset", "length").join(found, "offset")
+
+
 def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -70,6 +79,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language_id": op3_language_id,
     "op4_token_ids": op4_token_ids,
+    "op5_merkle_audit": op5_merkle_audit,
     "op7_log_bilinear": op7_log_bilinear,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_mixing": op9_mixing,
@@ -98,6 +108,20 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op5_merkle_audit": f"""
+        WITH r AS (
+          SELECT page_id, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || e
+              || 'WARC-Target-URI: ' || coalesce(url, '') || e || 'Content-Type: text/html' || e || 'Content-Length: '
+              || strlen(coalesce(html, '')) || e || e || coalesce(html, '') AS record
+          FROM pages, (SELECT chr(13) || chr(10) AS e)),
+        a AS (
+          SELECT *, strlen(record) + 4 AS length,
+                 coalesce(sum(strlen(record) + 4) OVER (ORDER BY page_id NULLS FIRST, record ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset",
+                 (coalesce(page_id, 0) * 7919) % {DECAY_EVERY} AS rest FROM r)
+        SELECT page_id, "offset", length, sha256(record) AS sha256,
+               CASE WHEN rest = 0 THEN sha256('X' || substr(record, 2)) END AS replica_sha256,
+               CASE WHEN rest = 0 THEN 'altered' ELSE 'missing' END AS status
+        FROM a WHERE rest IN (0, 1)""",
     # The shallowest prefix whose rows fit the limit; 40 bits are more than these tables need.
     "op8_extendible_sharding": f"""
         WITH d AS (
