@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from unirec.functions.shared import new_folder, stored
 from unirec.llm.bilinear import score_documents
+from unirec.llm.chat_format import format_conversations, read_back
 from unirec.llm.decontaminate import decontaminate
 from unirec.llm.digest_index import exact_dedup
 from unirec.llm.fixity import archive, audit, decayed
@@ -53,6 +54,13 @@ def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "offset", "length").join(found, "offset")
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], turns.schema)
+    return read_back(stored(format_conversations(turns.unionByName(more)), "formatted"))
+
+
 def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -80,6 +88,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_token_ids": op4_token_ids,
     "op5_merkle_audit": op5_merkle_audit,
+    "op6_chat_format": op6_chat_format,
     "op7_log_bilinear": op7_log_bilinear,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_mixing": op9_mixing,
@@ -122,6 +131,20 @@ ORACLES = {
                CASE WHEN rest = 0 THEN sha256('X' || substr(record, 2)) END AS replica_sha256,
                CASE WHEN rest = 0 THEN 'altered' ELSE 'missing' END AS status
         FROM a WHERE rest IN (0, 1)""",
+    "op6_chat_format": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (
+          SELECT *, replace(replace(replace(replace(replace(replace(replace(text, '\', '\'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]'),
+                    '<s>', '<\s>'), '</s>', '<\/s>'), '[ROLE=', '[\ROLE='), '[/ROLE]', '[\/ROLE]') AS safe,
+                 CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 14 + length(replace(replace(role, '\', '\'), ']', '\]')) END AS marks FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length(safe) + marks)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
     # The shallowest prefix whose rows fit the limit; 40 bits are more than these tables need.
     "op8_extendible_sharding": f"""
         WITH d AS (
