@@ -136,9 +136,9 @@ ORACLES = {
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
         e AS (
-          SELECT *, replace(replace(replace(replace(replace(replace(replace(text, '\', '\'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]'),
+          SELECT *, replace(replace(replace(replace(replace(replace(replace(text, '\', '\\'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]'),
                     '<s>', '<\s>'), '</s>', '<\/s>'), '[ROLE=', '[\ROLE='), '[/ROLE]', '[\/ROLE]') AS safe,
-                 CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 14 + length(replace(replace(role, '\', '\'), ']', '\]')) END AS marks FROM t)
+                 CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 14 + length(replace(replace(role, '\', '\\'), ']', '\]')) END AS marks FROM t)
         SELECT conv_id, count(*) AS n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
                coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
