@@ -20,6 +20,8 @@ from unirec.llm.placing import with_running_total
 
 BITS = 128
 STEP = 8  # bits by which one round deepens the buckets that are still too large
+# A directory of at most so many leaves (about 100 bytes each) is sent to all tasks; a larger one is joined by a shuffle.
+SENT_LEAVES = 100_000
 
 
 def hash_bits(*columns: Column) -> Column:
@@ -77,18 +79,22 @@ def assign_shards(docs: DataFrame, limit: int, key: list[str]) -> DataFrame:
         docs.select(row_bits(key).alias("bits"), row_bytes().alias("bytes"))
         .groupBy("bits").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("copies")), "shard-keys")
     leaves = stored(directory(keyed, limit), "shard-leaves")
-    depths = sorted(r[0] for r in leaves.select("depth").distinct().collect()) or [0]  # at most 129 numbers
-    found = (
-        keyed.select("bits", "copies", F.explode(F.array(*[F.lit(d) for d in depths])).alias("_at"))
-        .withColumn("prefix", F.expr("substring(bits, 1, _at)"))
-        .join(leaves.drop("n_rows"), "prefix")
-        .filter(F.col("depth") == F.col("_at"))
-        .select(F.col("bits").alias("_bits"), F.concat(F.lit("b"), "prefix").alias("shard"), "depth", "shard_bytes", F.col("copies").alias("_copies"))
-    )
+    depths = F.array(*[F.lit(d) for d in sorted(r[0] for r in leaves.select("depth").distinct().collect()) or [0]])  # at most 129
+    named = leaves.select("prefix", "depth", "shard_bytes", F.concat(F.lit("b"), "prefix").alias("shard"))
+
+    def located(rows: DataFrame, sides: DataFrame) -> DataFrame:
+        """``rows`` (with _bits) and the leaf of each: one of its prefixes is a leaf."""
+        paths = rows.select("*", F.explode(depths).alias("_at")).withColumn("prefix", F.expr("substring(_bits, 1, _at)"))
+        return paths.join(sides, "prefix").drop("prefix", "_at")
+
     own = docs.drop("shard", "depth", "shard_bytes").withColumn("_bits", row_bits(key))
+    keys = keyed.select(F.col("bits").alias("_bits"), F.col("copies").alias("_copies"))
     over = F.col("shard_bytes") > limit
-    placed = own.join(found.filter(~over), "_bits").drop("_bits", "_copies")
-    large = stored(found.filter(over), "shard-overflow")
+    if leaves.count() <= SENT_LEAVES:
+        placed = located(own, F.broadcast(named.filter(~over))).drop("_bits")
+    else:
+        placed = own.join(located(keys, named.filter(~over)).drop("_copies"), "_bits").drop("_bits")
+    large = stored(located(keys, named.filter(over)), "shard-overflow")
     if large.isEmpty():
         return placed
     paged = with_running_total(
