@@ -102,7 +102,8 @@ def find_windows(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Data
     lines = lines.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
     lines = lines.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("d", "item_id", "item_words")).alias("lines"))
     lines = stored(lines, "diagonals")
-    near = keyed.alias("k").join(lines.alias("l"), F.col("k.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("k.text_key") == F.col("l.text_key")))
+    # Always by merge: a switch to a broadcast at some size would change what is shuffled.
+    near = keyed.alias("k").join(lines.alias("l").hint("merge"), F.col("k.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("k.text_key") == F.col("l.text_key")))
     near = near.select("k.doc_id", "k.text_key", words_of(F.col("k.text")).alias("words"), "l.lines").dropDuplicates(["doc_id", "text_key"])
 
     def extended(line: Column, words: Column) -> Column:
