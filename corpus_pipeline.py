@@ -29,7 +29,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, text) is among ``chosen``: doc_id, text_key."""
-    d, c = keyed(docs).alias("d"), chosen.alias("c")
+    d, c = keyed(docs).alias("d"), chosen.alias("c").hint("merge")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key"))
     return d.join(c, same, "left_semi").select(*COLUMNS)
 
@@ -59,7 +59,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     spans = draws.groupBy("row_id", "in_pass").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))
     spans = stored(rows.join(spans, "row_id").select("doc_id", "size", "in_pass", "spans"), "mix-spans")
     d = docs.select(*COLUMNS).alias("d")
-    taken = d.join(spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))).select("d.*", "s.size", "s.spans")
+    taken = d.join(spans.alias("s").hint("merge"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))).select("d.*", "s.size", "s.spans")
     whole = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["n_words"]) == F.col("size")
     cut = F.expr(r"""array_join(flatten(transform(spans, s -> slice(
         regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), int(s.first_word) + 1, int(s.n_words)))), '')""")

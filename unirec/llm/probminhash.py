@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stored(band_rows.join(buckets, "band"), "bucket-members")
     wanted = members.select("node").distinct().join(nodes.select("node", "source.doc_id", "source.text_key"), "node")
     own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).alias("d")
-    wanted = stored(wanted, "near-wanted").alias("w")
+    wanted = stored(wanted, "near-wanted").alias("w").hint("merge")  # the same way at every size
     texts = own.join(wanted, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_key") == F.col("w.text_key")))
     texts = stored(texts.select("w.node", "d.text").dropDuplicates(["node"]), "near-texts")
 
