@@ -41,7 +41,7 @@ HEADER = struct.Struct("<4sIQIQ")
 UNEVEN = r"[\x00-\x20] | [\x00-\x20]|\A | \z|[\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 TAIL = frozenset(".,;:!?")
 SPARE = "."
-CACHE_PIECES = 500_000
+CACHE_PIECES = 350_000
 
 
 class ByteBpe:
@@ -243,6 +243,7 @@ def unpack_block(book: Codebook, block: bytes) -> tuple[np.ndarray, np.ndarray,
 # --- Spark ------------------------------------------------------------------------------------------------------
 
 SLICE = 512  # rows of a batch that are worked on at a time
+ENCODED_ROWS = 4096  # more, so that a word is met more often in a batch
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -251,9 +252,10 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _tokenizer(tokenizer_path)
         kind = np.uint16 if bpe.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        before = 0
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE * 12):
-                batch = whole.slice(at, SLICE * 12)
+            for at in range(0, whole.num_rows, ENCODED_ROWS):
+                batch = whole.slice(at, ENCODED_ROWS)
                 ids, counts = bpe.encode(batch.column(1))
                 n = len(counts)
                 ends = np.cumsum(counts + 1)
@@ -261,21 +263,16 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                 out[_ranges(ends - counts - 1, counts)] = ids
                 offsets = np.append(0, ends) * out.itemsize
                 data = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts + 1), data.cast(pa.binary())], names=["doc_id", "n_tokens", "ids"])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = 0
-        for batch in batches:
-            counts = batch.column(1).to_numpy()
-            ends = before + np.cumsum(counts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - counts)], names=["doc_id", "n_tokens", "ids", "part", "before"])
-            before = int(ends[-1]) if len(ends) else before
+                starts = before + ends - counts - 1
+                before += int(ends[-1])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(counts + 1), data.cast(pa.binary()), batch.column(2), pa.array(starts)],
+                    names=["doc_id", "n_tokens", "ids", "part", "before"])
 
     # Dealt before they are tokenised: to find the ranges, Spark reads its input once more.
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
-    dealt = dealt.sortWithinPartitions("doc_id", "text").mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
-    dealt = dealt.withColumn("part", F.spark_partition_id())
-    return stored(dealt.mapInArrow(place, "doc_id long, n_tokens long, ids binary, part int, before long"), "token-ids")
+    dealt = dealt.sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
+    return stored(dealt.mapInArrow(encode, "doc_id long, n_tokens long, ids binary, part int, before long"), "token-ids")
 
 
 def token_counts(ids: DataFrame, wide: bool) -> DataFrame:
