@@ -41,6 +41,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("unirec.encode.tasks", cpus if cpus.isdigit() else "8")  # the tables are single files
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .getOrCreate()
     )

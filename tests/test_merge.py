@@ -164,3 +164,48 @@ def test_diff_classifies_and_survives_repeated_keys(spark):
     got = snapshot_diff(old, new, ["id"]).select("event_type", "id", "v", F.col("before.v").alias("b"))
     assert sorted(map(tuple, got.collect())) == [
         ("DELETE", 1, "a", "a"), ("INSERT", 5, "e", None), ("UPDATE", 3, "c", None)]
+
+
+def test_golden_paths_that_differ_in_one_sign_keep_their_rows(spark):
+    """Bases are session tables; their names come from the whole path."""
+    from unirec.functions.shared import new_folder
+    from unirec.sinks.golden import GoldenTable
+
+    root = new_folder(spark, "clash")
+    schema = spark.createDataFrame([], "id long, v string, _event_type string, _event_timestamp string").schema
+    tables = {}
+    for name in ("order-item", "order_item", "Order_item"):
+        table = GoldenTable(spark, f"{root}/{name}", schema, ["id"], buckets=2)
+        table.write_batch(spark.createDataFrame([(1, name, "INSERT", "2024-01-01T00:00:00+00:00")], schema), 0)
+        table.compact()
+        tables[name] = table
+    for name, table in tables.items():
+        assert [r["v"] for r in table.read().collect()] == [name]
+
+
+def test_golden_compaction_forgets_what_older_bases_folded(spark):
+    from unirec.functions.shared import child_names, new_folder
+    from unirec.sinks.golden import GoldenTable
+
+    root = new_folder(spark, "retention")
+    schema = spark.createDataFrame([], "id long, v string, _event_type string, _event_timestamp string").schema
+    table = GoldenTable(spark, root, schema, ["id"], buckets=2)
+    for batch in range(6):
+        rows = [(k, f"b{batch}", "UPDATE", f"2024-01-0{batch + 1}T00:00:00+00:00") for k in range(batch + 1)]
+        table.write_batch(spark.createDataFrame(rows, schema), batch)
+        if batch % 2:
+            table.compact()
+    assert {r["id"]: r["v"] for r in table.read().collect()} == {k: "b5" for k in range(6)}
+    batches = [n for n in child_names(spark, f"{root}/changes/_run=0") if n.startswith("_batch_id")]
+    assert batches == ["_batch_id=4", "_batch_id=5"] and len(child_names(spark, f"{root}/base")) == 2
+    assert len(child_names(spark, f"{root}/position")) <= 2 and table.last_batch() == (0, 5)
+
+
+def test_remove_needs_the_tombstones_of_its_target(spark):
+    import pytest
+
+    from unirec.operators.upsert import upsert
+
+    target = spark.createDataFrame([(1, "INSERT", "2024-01-01T00:00:00+00:00")], "id long, _event_type string, _event_timestamp string")
+    with pytest.raises(ValueError):
+        upsert(target, target, ["id"], mode="event_time", delete_policy="remove")

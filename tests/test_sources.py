@@ -33,7 +33,7 @@ def test_encode_and_decode(spark):
     row = serialise(events).first()
     assert bytes(row["key"]) == b"1" and row["topic"] == "canonical.thing"
     text = bytes(row["value"]).decode()
-    assert '"amount":"1.50"' in text and '"at":"2024-01-02 03:04:05"' in text
+    assert '"amount":"1.50"' in text and '"at":"2024-01-02T03:04:05.000000+00:00"' in text
     assert '"gone":null' in text and '"before":null' in text and '"inner":{"k":7,"xs":[1.5]}' in text
     got = decode_events(log_of(spark, [text])).first()
     assert (got["event_timestamp"], got["source_table"], got["source_database"]) == (
@@ -195,3 +195,37 @@ def test_catalogue_tables_are_created_then_appended(spark):
     for _ in range(2):
         create_or_append(spark.range(3).withColumn("p", F.lit("x")), "landing.things", ["p"])
     assert spark.table("landing.things").count() == 6
+
+
+def test_session_time_zone_does_not_reach_the_bytes(spark):
+    """Instants around a change of clocks: the same bytes and ids in every zone; local times stay as they are."""
+    rows = [(1, 1699163999), (2, 1699164000), (3, 1699167600), (4, 1710054000), (5, -1)]
+    written = []
+    for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            df = spark.createDataFrame(rows, "id int, s long").select(
+                "id", F.timestamp_seconds("s").alias("at"), F.lit("2024-03-10 02:30:00").cast("timestamp_ntz").alias("local"))
+            events = encode_events(df, "postgres", "thing", event_time=F.col("at"))
+            written.append(sorted(bytes(r["value"]) for r in serialise(events).collect()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert written[0] == written[1] == written[2]
+    whole = b"".join(written[0])
+    assert b"2023-11-05T06:00:00.000000+00:00" in whole and b"1969-12-31T23:59:59.000000+00:00" in whole and b"2024-03-10 02:30:00" in whole
+
+
+def test_catalogue_words_and_names_per_row(spark):
+    rows = spark.createDataFrame([(None, "a", "PRI"), ("b", "x", ""), ("c", None, "true")], "name string, column_name string, is_primary_key string")
+    assert [(r["name"], r["is_primary_key"]) for r in normalise_columns(rows).collect()] == [("a", False), ("b", False), ("c", True)]
+
+
+def test_first_block_without_text(spark):
+    docs = spark.createDataFrame([('[{"text":null},{"text":"{\\"id\\":1}"}]',)], "d string")
+    assert [r["record"] for r in unwrap_records(docs, "d").collect()] == ['{"id":1}']
+
+
+def test_wide_integers_are_integers(spark):
+    docs = spark.createDataFrame([('{"v":99999999999999999999}',), ('{"v":1}',)], "doc string")
+    row = infer_json_columns(docs, "doc").first()
+    assert (row["data_type"], row["row_count"]) == ("integer", 2)

@@ -53,3 +53,32 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def write_state(spark: SparkSession, folder: str, text: str) -> None:
+    """Put a small text in place of the one before.  Each write is a file of its own with the next number, so a
+    write that breaks off leaves the last one; all but the two newest go."""
+    numbers = sorted(int(n) for n in child_names(spark, folder) if n.isdigit())
+    fs, p = _path(spark, f"{folder}/{numbers[-1] + 1 if numbers else 0:012d}")
+    out = fs.create(p, True)
+    out.write(bytearray((text + "\n").encode()))
+    out.close()
+    for n in numbers[:-1]:
+        remove(spark, f"{folder}/{n:012d}")
+
+
+def read_state(spark: SparkSession, folder: str) -> str | None:
+    """The newest complete text; a text is complete when it has its line end."""
+    for name in reversed([n for n in child_names(spark, folder) if n.isdigit()]):
+        fs, p = _path(spark, f"{folder}/{name}")
+        stream = fs.open(p)
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if text.endswith("\n"):
+            return text[:-1]
+    return None

@@ -126,7 +126,8 @@ class JsonValue:
         finite = self.is_number & ~F.isnan(number) & (F.abs(number) != float("inf"))
         value = (
             F.when(self.kind == "BIGINT", self.get("bigint"))
-            .when(finite, number.try_cast("bigint"))
+            .when(finite & self.kind.rlike(WIDE_INTEGER), self.get("decimal(38,0)").try_cast("bigint"))
+            .when(finite & (F.abs(number) < 2.0 ** 63), number.try_cast("bigint"))
             .when(self.is_boolean, self.get("boolean").cast("bigint"))
             .when(self.is_string & self.text.rlike(INT_TEXT), text_to_long(self.text))
         )

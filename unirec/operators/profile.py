@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from unirec.functions.values import kind_of
+from unirec.functions.values import WIDE_INTEGER, kind_of
 
 
 def looks_like_date(text: Column) -> Column:
@@ -19,7 +19,7 @@ def json_type(value: Column) -> Column:
     kind = kind_of(value)
     return (
         F.when(kind == "BOOLEAN", "boolean")
-        .when(kind == "BIGINT", "integer")
+        .when((kind == "BIGINT") | kind.rlike(WIDE_INTEGER), "integer")
         .when((kind == "DOUBLE") | kind.startswith("DECIMAL"), "float")
         .when((kind == "STRING") & looks_like_date(F.try_variant_get(value, "$", "string")), "date")
         .when(kind == "VOID", "null")
@@ -58,10 +58,11 @@ def infer_json_columns(docs: DataFrame, column: str, group: Sequence[str] = ())
         F.sum("n").alias("n_values"),
         F.sum(F.when(F.col("type") == "null", F.col("n")).otherwise(0)).alias("n_nulls"),
     )
-    # What is left has one row per column, so the group's row count is spread over few rows.
-    whole_group = Window.partitionBy(*(group or [F.lit(0)]))
-    counted_rows = F.max(F.when(F.col("name").isNull(), F.col("n_values"))).over(whole_group)
-    return folded.withColumn("row_count", counted_rows).filter(F.col("name").isNotNull()).select(
+    # A join brings the group's row count to its columns, so that no task needs all names of a group.
+    mark = F.to_json(F.struct(*group), {"ignoreNullFields": "false"}) if group else F.lit("all")
+    folded = folded.withColumn("_group", mark)
+    totals = folded.filter(F.col("name").isNull()).select("_group", F.col("n_values").alias("row_count"))
+    return folded.filter(F.col("name").isNotNull()).join(totals, "_group").select(
         *group, "name", common_type(F.col("types")).alias("data_type"), "n_values", "n_nulls",
         (F.col("name") == "id").alias("is_primary_key"), "row_count")
 
@@ -71,19 +72,19 @@ def merge_key_candidates(df: DataFrame, candidates: Sequence[Sequence[str]]) ->
     candidate identifies every row.
 
     One pass: every row is expanded once per candidate and folded to one row per value before the
-    shuffle, so a value that most rows share costs no more than a rare one.
+    shuffle, so a value that most rows share costs no more than a rare one.  The columns stay as they are: a
+    candidate fills its own and leaves those of the others null.
     """
+    names = ["+".join(columns) for columns in candidates]
+    used = list(dict.fromkeys(c for columns in candidates for c in columns))
     profiles = []
-    for columns in candidates:
-        name = "+".join(columns)
+    for name, columns in zip(names, candidates):
         any_null = F.greatest(*[F.col(c).isNull() for c in columns]) if len(columns) > 1 else F.col(columns[0]).isNull()
-        profiles.append(F.struct(
-            F.lit(name).alias("candidate"),
-            any_null.alias("has_null"),
-            F.to_json(F.array(*[F.col(c).cast("string") for c in columns])).alias("value"),
-        ))
+        own = [(F.col(c) if c in columns else F.lit(None).cast(df.schema[c].dataType)).alias(f"v{i}") for i, c in enumerate(used)]
+        profiles.append(F.struct(F.lit(name).alias("candidate"), any_null.alias("has_null"), *own))
     expanded = df.select(F.explode(F.array(*profiles)).alias("_p")).select("_p.*")
-    per_value = expanded.groupBy("candidate", "value", "has_null").agg(F.count("*").alias("n"))
+    values = [f"v{i}" for i in range(len(used))]
+    per_value = expanded.groupBy("candidate", "has_null", *values).agg(F.count("*").alias("n"))
     profile = per_value.groupBy("candidate").agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(F.col("has_null"), 0).otherwise(1)).alias("n_distinct"),

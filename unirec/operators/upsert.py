@@ -91,6 +91,9 @@ def upsert(
     """
     if mode not in (ARRIVAL, EVENT_TIME):
         raise ValueError(f"mode must be {ARRIVAL!r} or {EVENT_TIME!r}, got {mode!r}")
+    if mode == EVENT_TIME and delete_policy == "remove" and target is not None and DELETED not in target.columns:
+        raise ValueError(f"a target without {DELETED} has lost its tombstones: late events would revive rows; "
+                         "keep the table under 'tombstone' and hide them with visible_rows")
     usable = mark_deleted(split_null_keys(batch, keys)[0], delete_policy)
     changes = latest_per_key(usable, keys, order)
     if target is None:
@@ -120,5 +123,7 @@ def merge_into_catalog(
     merge = changes.mergeInto(table, match)
     newer = None
     if mode == EVENT_TIME:
-        newer = F.expr(f"try_cast(s._event_timestamp AS timestamp) > try_cast({table}._event_timestamp AS timestamp)")
+        # A time that is missing or cannot be read is the lowest, on either side.
+        new, old = (f"try_cast({side}._event_timestamp AS timestamp)" for side in ("s", table))
+        newer = F.expr(f"{new} IS NOT NULL AND ({old} IS NULL OR {new} > {old})")
     merge.whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()

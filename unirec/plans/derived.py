@@ -27,7 +27,6 @@ _schemas: dict[str, StructType] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; its schema is read from the files once."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = f"{sf_dir}/{name}.parquet"
     if path not in _schemas:
         _schemas[path] = spark.read.parquet(path).schema
@@ -35,10 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table that is read by fewer tasks than there are cores (one small file) is spread over them,
-    because encoding and mapping cost far more than the shuffle.  Tables of many files stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The rows dealt to as many tasks as the caller's session asks for in ``unirec.encode.tasks``; without it they
+    stay where they are read.  For single-file tables, where encoding costs far more than the shuffle."""
+    tasks = df.sparkSession.conf.get("unirec.encode.tasks", None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def at(seconds: Column) -> Column:

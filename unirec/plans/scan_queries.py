@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import new_folder
+from unirec.operators.upsert import upsert
 from unirec.plans.derived import SOURCES, as_log, source_rows, spread, table
 from unirec.plans.sql import customer_time
-from unirec.sources.envelope import decode_events, encode_events
+from unirec.sources.envelope import decode_events, encode_events, serialise, with_position
 from unirec.sources.scan import highest_timestamp, incremental_scan, lower_case_columns, unwrap_records
 from unirec.sources.topics import file_log
 from unirec.sources.watermarks import watermarks
@@ -120,7 +121,7 @@ def diff_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = source_rows(spark, sf_dir, "customer", "postgres")
     old = new.filter(F.col("balance") < 9000).withColumn(
         "segment", F.when(F.col("segment") == "BUILDING", "HOUSE").otherwise(F.col("segment")))
-    events = diff_events(old, new.filter("balance > 0"), ["id"], "postgres", "customer",
+    events = diff_events(old, new.filter("balance > 0"), ["id"], "postgres", "customer", "2",
                          event_time=F.col("updated_at"), key=F.col("id"))
     log = as_log(events)
     raw = F.col("value").cast("string")
@@ -132,6 +133,25 @@ def diff_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object(raw, "$.before.updated_at").cast("timestamp").alias("before_time"))
 
 
+def flip_flop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source without change times goes from A to B, back and to B again, and everything is published twice: all
+    three changes of each key are events, once each, and the table ends at B."""
+    a = source_rows(spark, sf_dir, "customer", "postgres")
+    b = a.withColumn("segment", F.lower("segment"))
+    states = [a, b, a, b]
+    changes = []
+    for k in range(1, len(states)):
+        events = diff_events(states[k - 1], states[k], ["id"], "postgres", "customer", str(k), key=F.col("id"))
+        rows = serialise(events)
+        changes.append(with_position(rows, 3, F.lit(k), F.lit("2024-01-01 00:00:00").cast("timestamp")))
+    log = reduce(DataFrame.unionByName, changes + changes)
+    once = decode_events(log).dropDuplicates(["event_id"])
+    rows = once.select(
+        F.get_json_object("payload", "$.id").cast("bigint").alias("id"), F.get_json_object("payload", "$.segment").alias("segment"),
+        "kafka_offset", F.count("*").over(Window.partitionBy(F.get_json_object("payload", "$.id"))).alias("n_events"))
+    return upsert(None, rows, ["id"], order=[F.col("kafka_offset")]).drop("kafka_offset")
+
+
 DIFF_EVENTS_SQL = f"""
 WITH new AS (SELECT c_custkey AS id, c_mktsegment AS segment, c_acctbal AS balance, {customer_time(0)} AS t FROM customer),
 old AS (SELECT id, CASE WHEN segment = 'BUILDING' THEN 'HOUSE' ELSE segment END AS segment, balance, t FROM new WHERE balance < 9000)
@@ -150,6 +170,7 @@ QUERIES = {
     "wrapped_records": wrapped_records,
     "lower_case_columns": lower_case,
     "snapshot_diff_events": diff_as_events,
+    "diff_events_flip_flop": flip_flop,
 }
 ORACLES = {
     "snapshot_scan": """SELECT 'SNAPSHOT' AS event_type, 'teradata' AS source, 'supplier' AS entity,
@@ -170,4 +191,5 @@ UNION ALL SELECT 'postgres', 'activity', max(CAST(ts AS TIMESTAMP)), count(*) FR
   o_orderstatus AS status FROM orders""",
     "lower_case_columns": "SELECT * FROM supplier",
     "snapshot_diff_events": DIFF_EVENTS_SQL,
+    "diff_events_flip_flop": "SELECT c_custkey AS id, lower(c_mktsegment) AS segment, 3 AS n_events FROM customer",
 }

@@ -16,9 +16,10 @@ from unirec.plans.sql import CUSTOMER_ROWS, ORDER_ROWS, canonical, latest
 from unirec.sources.envelope import decode_events, encode_events
 from unirec.sources.topics import file_log_stream
 from unirec.streaming.entity import EntityStream, drop_repeated_events
-from unirec.streaming.monitor import progress_table
 
 ALL_NOW = {"availableNow": True}
+# Few, so that small logs make several batches too; the results do not depend on where batches end.
+FILES_PER_BATCH = 2
 BATCH_STAMP = "2024-02-01T00:00:00.000000+00:00"
 POSITION = ("_partition", "_offset")
 
@@ -41,8 +42,7 @@ def run_entity(
     stream = EntityStream(
         spark, spec, folder, ingest_date=INGEST_DATE, batch_timestamp=BATCH_STAMP,
         sources=tuple(sources or SOURCES[spec.name]), **options)
-    # A source is written as one file per core: with that limit it makes one batch.
-    files = spark.sparkContext.defaultParallelism if split else None
+    files = FILES_PER_BATCH if split else None
     query = stream.start(file_log_stream(spark, log, [spec.name], max_files_per_trigger=files), sinks, ALL_NOW)
     query.awaitTermination()
     return stream, query
@@ -132,10 +132,37 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Input rows as the queries report them: every row of the log is read once."""
-    _, query = run_entity(spark, sf_dir, CUSTOMER, ["canonical", "warehouse"], mode="event_time")
-    return progress_table(spark, [query]).groupBy(F.substring_index("query", "_", 3).alias("query")).agg(
-        F.sum("input_rows").alias("n_rows"))
+    """Input rows over all batches, from the stored counts: every row of the log is read once."""
+    stream, _ = run_entity(spark, sf_dir, CUSTOMER, ["canonical", "warehouse"], mode="event_time")
+    return stream.read_counts().filter("sink = 'input'").groupBy(
+        F.concat_ws("_", "query", F.lit(CUSTOMER.name)).alias("query")).agg(F.sum("n_rows").alias("n_rows"))
+
+
+def batch_sink_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows handed to each sink, added up over the batches."""
+    stream, _ = run_entity(spark, sf_dir, CUSTOMER, ["raw", "canonical", "warehouse"], mode="event_time")
+    return stream.read_counts().groupBy("sink").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def dedup_keeps_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and unreadable rows, all published twice: an event arrives once, every unreadable row stays."""
+    folder = new_folder(spark, "stream-dead")
+    base = table(spark, sf_dir, "supplier")
+    events = encode_events(base, "sqlserver", "supplier", "INSERT", key=F.col("s_suppkey"), version=F.lit("1"))
+    broken = base.select(F.col("s_name").alias("_broken"), F.col("s_suppkey").alias("_at"))
+    for k in range(2):
+        good = as_log(events)
+        bad = broken.select(
+            F.lit(None).cast("binary").alias("key"), F.encode("_broken", "UTF-8").alias("value"),
+            F.lit("canonical.supplier").alias("topic"), F.lit(0).alias("partition"),
+            (F.col("_at") * 2 + k).alias("offset"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"))
+        good.unionByName(bad).write.mode("append").partitionBy("topic").parquet(f"{folder}/log")
+    once = drop_repeated_events(decode_events(file_log_stream(spark, f"{folder}/log", ["supplier"]), keep_raw=True), "1 hour")
+    query = (once.writeStream.format("parquet").option("path", f"{folder}/out")
+             .option("checkpointLocation", f"{folder}/checkpoint").trigger(**ALL_NOW).start())
+    query.awaitTermination()
+    rows = spark.read.schema(once.schema).parquet(f"{folder}/out")
+    return rows.groupBy(F.col("event_id").isNull().alias("dead")).agg(F.count("*").alias("n_rows"))
 
 
 LATEST_CUSTOMER = f"""WITH {CUSTOMER_ROWS}, c AS ({canonical('customer_rows')})
@@ -152,6 +179,8 @@ QUERIES = {
     "stream_dedup_events": stream_dedup,
     "stream_replay_idempotent": stream_replay,
     "stream_progress": stream_progress,
+    "batch_sink_counts": batch_sink_counts,
+    "dedup_keeps_dead_letters": dedup_keeps_dead_letters,
 }
 ORACLES = {
     "stream_raw": f"""WITH {CUSTOMER_ROWS}
@@ -177,5 +206,9 @@ UNION ALL SELECT 'order', _source, count(*), max(updated_at) FROM order_rows GRO
 UNION ALL SELECT 'activity', _source, count(*), max(updated_at) FROM activity_rows GROUP BY _source""",
     "stream_dedup_events": "SELECT 'INSERT' AS event_type, s_suppkey FROM supplier",
     "stream_replay_idempotent": LATEST_CUSTOMER,
+    "batch_sink_counts": """
+SELECT s.sink, CAST(CASE WHEN s.sink IN ('dead_letters', 'quarantine') THEN 0 ELSE 3 * n END AS BIGINT) AS n_rows
+FROM (SELECT count(*) AS n FROM customer), (VALUES ('input'), ('raw'), ('dead_letters'), ('canonical'), ('quarantine'), ('warehouse')) s(sink)""",
+    "dedup_keeps_dead_letters": "SELECT false AS dead, count(*) AS n_rows FROM supplier UNION ALL SELECT true, 2 * count(*) FROM supplier",
     "stream_progress": "SELECT 'canonical_warehouse_customer' AS query, 3 * count(*) AS n_rows FROM customer",
 }

@@ -8,20 +8,25 @@ reads the base in place and shuffles only the changes.
     <path>/changes/_run=R/_batch_id=B/       rows of one batch
     <path>/quarantine/_run=R/_batch_id=B/    rows with a null key
     <path>/base/through-R-B-of-N/            all changes up to and including batch B of run R, in N buckets
+    <path>/position/                         the last batch and the current base; rows beyond it do not count yet
+
+The position is one small file, so neither writing nor reading walks the folders of past batches.  A compaction
+removes the change folders that the base before it had folded, and older bases; readers of the last base go on.
 
 One writer at a time: batches and compactions of a table must not overlap.
 """
 
 from __future__ import annotations
 
-import re
+import hashlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unirec.functions.shared import child_names, path_exists
+from unirec.functions.shared import child_names, path_exists, read_state, remove, write_state
 from unirec.operators.latest import event_order, latest_per_key
 from unirec.operators.upsert import (
     ARRIVAL, DELETE_POLICIES, DELETED, EVENT_TIME, mark_deleted, replace_newer, replace_rows, split_null_keys,
@@ -30,7 +35,8 @@ from unirec.operators.upsert import (
 from unirec.sinks.raw import batch_folder
 
 RUN, BATCH = "_run", "_batch_id"
-BASE_NAME = re.compile(r"through-(\d+)-(\d+)-of-(\d+)")
+
+Version = tuple[int, int, int]
 
 
 class GoldenTable:
@@ -71,6 +77,7 @@ class GoldenTable:
         changes.select(*self.schema.names).write.mode("overwrite").parquet(
             batch_folder(f"{self.path}/changes", run, batch_id))
         nulls.write.mode("overwrite").parquet(batch_folder(f"{self.path}/quarantine", run, batch_id))
+        self._move_to((run, batch_id), self._base_version())
 
     def _check_position(self, run: int, batch_id: int) -> None:
         """A batch may repeat the last one or follow it; anything older would rewrite history."""
@@ -79,32 +86,28 @@ class GoldenTable:
             raise ValueError(
                 f"batch {batch_id} of run {run} is older than {last}: raise `run` after a fresh checkpoint")
 
+    def _position(self) -> dict:
+        return json.loads(read_state(self.spark, f"{self.path}/position") or '{"batch": null, "base": null}')
+
+    def _move_to(self, batch: tuple[int, int], base: Version | None) -> None:
+        write_state(self.spark, f"{self.path}/position", json.dumps({"batch": batch, "base": base}))
+
     def last_batch(self) -> tuple[int, int] | None:
-        """Highest (run, batch) in the log."""
-        changes = f"{self.path}/changes"
-        runs = sorted(int(n.split("=")[1]) for n in child_names(self.spark, changes) if n.startswith("_run="))
-        for run in reversed(runs):
-            names = child_names(self.spark, f"{changes}/_run={run}")
-            batches = [int(n.split("=")[1]) for n in names if n.startswith("_batch_id=")]
-            if batches:
-                return run, max(batches)
-        return None
+        """Highest (run, batch) that was written completely."""
+        batch = self._position()["batch"]
+        return tuple(batch) if batch else None
 
     # --- reading ---
 
-    def _base_version(self) -> tuple[int, int, int] | None:
-        """(run, batch, buckets) of the newest base whose write was completed."""
-        versions = []
-        for name in child_names(self.spark, f"{self.path}/base"):
-            match = BASE_NAME.fullmatch(name)
-            if match and path_exists(self.spark, f"{self.path}/base/{name}/_SUCCESS"):
-                versions.append(tuple(int(g) for g in match.groups()))
-        return max(versions, default=None)
+    def _base_version(self) -> Version | None:
+        """(run, batch, buckets) of the current base."""
+        base = self._position()["base"]
+        return tuple(base) if base else None
 
-    def _base_location(self, version: tuple[int, int, int]) -> str:
+    def _base_location(self, version: Version) -> str:
         return "{}/base/through-{}-{}-of-{}".format(self.path, *version)
 
-    def _base(self, version: tuple[int, int, int]) -> DataFrame:
+    def _base(self, version: Version) -> DataFrame:
         """The base as a bucketed table, registered in the session when it is not yet known.
 
         The number of buckets is the one it was written with, whatever the session's settings are now.
@@ -119,14 +122,13 @@ class GoldenTable:
                 f"INTO {version[2]} BUCKETS LOCATION '{location}'")
         return self.spark.table(name)
 
-    def _changes(self, after: tuple[int, int, int] | None) -> DataFrame | None:
-        if self.last_batch() is None:
+    def _changes(self, after: Version | None) -> DataFrame | None:
+        last = self.last_batch()
+        if last is None:
             return None
-        log = self.spark.read.schema(self.base_schema).parquet(f"{self.path}/changes")
-        if after is not None:
-            run, batch, _ = after
-            log = log.filter((F.col(RUN) > run) | ((F.col(RUN) == run) & (F.col(BATCH) > batch)))
-        return log
+        position = F.struct(F.col(RUN), F.col(BATCH))
+        log = self.spark.read.schema(self.base_schema).parquet(f"{self.path}/changes").filter(position <= _pair(last))
+        return log if after is None else log.filter(position > _pair(after))
 
     def _order(self, df: DataFrame) -> list[Column]:
         arrival = [F.col(RUN), F.col(BATCH)]
@@ -170,7 +172,30 @@ class GoldenTable:
          .write.mode("overwrite").option("path", location)
          .bucketBy(self.buckets, *self.keys).sortBy(*self.keys).saveAsTable(name))
         self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
+        self._move_to(last, (*last, self.buckets))
+        self._forget(version)
+
+    def _forget(self, before: Version | None) -> None:
+        """Remove what the base before the current one had already folded, and bases older than that one."""
+        if before is None:
+            return
+        for run in (n for n in child_names(self.spark, f"{self.path}/changes") if n.startswith(f"{RUN}=")):
+            folder = f"{self.path}/changes/{run}"
+            for batch in child_names(self.spark, folder):
+                if batch.startswith(f"{BATCH}=") and (int(run.split("=")[1]), int(batch.split("=")[1])) <= before[:2]:
+                    remove(self.spark, f"{folder}/{batch}")
+        kept = {self._base_location(v) for v in (before, self._base_version())}
+        for name in child_names(self.spark, f"{self.path}/base"):
+            location = f"{self.path}/base/{name}"
+            if location not in kept:
+                self.spark.sql(f"DROP TABLE IF EXISTS {_table_name('base', location)}")
+                remove(self.spark, location)
+
+
+def _pair(position: tuple) -> Column:
+    return F.struct(F.lit(position[0]).cast("int").alias(RUN), F.lit(position[1]).cast("long").alias(BATCH))
 
 
 def _table_name(purpose: str, location: str) -> str:
-    return f"unirec_{purpose}_" + re.sub(r"[^0-9a-zA-Z]", "_", location).strip("_").lower()
+    """Of the whole location: paths that differ in one character are different tables."""
+    return f"unirec_{purpose}_" + hashlib.sha256(location.encode()).hexdigest()[:32]

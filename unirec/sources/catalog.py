@@ -31,12 +31,10 @@ def normalise_columns(rows: DataFrame) -> DataFrame:
 
     def given(name: str, default: object) -> Column:
         fallback = F.lit(default)
-        return F.coalesce(F.col(name).cast(_kind(default)), fallback) if name in rows.columns else fallback
+        return F.coalesce(F.col(name).try_cast(_kind(default)), fallback) if name in rows.columns else fallback
 
-    if "name" in rows.columns:
-        name = F.col("name")
-    else:
-        name = F.col("column_name") if "column_name" in rows.columns else F.lit("")
+    names = [F.col(c) for c in ("name", "column_name") if c in rows.columns]
+    name = F.coalesce(*names, F.lit(""))
     kept = [F.col(c) for c in ("table", "table_name", "ordinal") if c in rows.columns]
     return rows.select(
         *kept,

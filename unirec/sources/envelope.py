@@ -30,12 +30,33 @@ LOG_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
 ])
-# Fixed value: ISO-8601 with microseconds and a numeric offset.
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def iso_text(ts: Column) -> Column:
-    return F.date_format(ts.cast("timestamp"), ISO_FORMAT)
+    """ISO-8601 in UTC with microseconds and offset, whatever the session's time zone is."""
+    micros = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1_000_000)).cast("string")
+    plain = F.replace(F.substring(utc_clock(ts).cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+    return F.concat(plain, F.lit("."), F.lpad(micros, 6, "0"), F.lit("+00:00"))
+
+
+def utc_clock(ts: Column) -> Column:
+    """An instant as the local time that UTC clocks show, by counting from 1970; no time zone takes part."""
+    micros = F.unix_micros(ts.cast("timestamp"))
+    seconds = F.expr("INTERVAL '1' SECOND") * F.floor(micros / 1_000_000).cast("long")
+    rest = F.expr("INTERVAL '0.000001' SECOND") * F.pmod(micros, F.lit(1_000_000))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + seconds + rest
+
+
+def in_utc(value: Column, dtype: T.DataType) -> Column:
+    """Every instant in a value as UTC clock time, so that the value's text does not depend on the session."""
+    if isinstance(dtype, T.TimestampType):
+        return utc_clock(value)
+    if isinstance(dtype, T.StructType):
+        fields = [in_utc(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda x: in_utc(x, dtype.elementType))
+    return value
 
 
 def utc_now_text() -> Column:
@@ -43,8 +64,10 @@ def utc_now_text() -> Column:
 
 
 def json_ready(value: Column, dtype: T.DataType) -> Column:
-    """Values JSON has no form for (decimal, date, time, binary) become their text."""
-    if isinstance(dtype, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)):
+    """Values JSON has no form for (decimal, date, time, binary) become their text; instants with their offset."""
+    if isinstance(dtype, T.TimestampType):
+        return iso_text(value)
+    if isinstance(dtype, (T.DecimalType, T.DateType, T.TimestampNTZType, T.BinaryType)):
         return value.cast("string")
     if isinstance(dtype, T.StructType):
         fields = [json_ready(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]
@@ -89,23 +112,27 @@ def encode_events(
     key: Column | None = None,
     before: Column | None = None,
     payload_columns: Sequence[str] | None = None,
+    version: Column | None = None,
 ) -> DataFrame:
     """Wrap every row in the envelope.
 
     The result has the envelope columns (payload and before still structured) and ``key``.  The id
     hashes source, entity, table, key, time and the payload's fields; without an ``event_time`` the
-    time is now and is left out of the id.  A row keeps its id whether it comes as SNAPSHOT or INSERT.
+    time is now and is left out of the id, so a row that changes back and forth repeats its ids: give a ``version``
+    (it enters the id) before repeated ids are dropped.  A row keeps its id whether it comes as SNAPSHOT or INSERT.
     """
     kind = F.lit(event_type) if isinstance(event_type, str) else event_type
     payload = payload_struct(df, payload_columns)
     key = event_key(df, entity) if key is None else key.cast("string")
     stamp = utc_now_text() if event_time is None else iso_text(event_time)
     chosen = payload_columns or df.columns
+    types = {f.name: f.dataType for f in df.schema.fields}
     id_parts = [
         F.lit(source), F.lit(entity), F.lit(table or entity), key,
         F.lit("") if event_time is None else stamp,
         F.when(kind.isin("SNAPSHOT", "INSERT"), "ROW").otherwise(kind),
-        *[F.col(f"`{c}`") for c in chosen],
+        *([] if version is None else [version]),
+        *[in_utc(F.col(f"`{c}`"), types[c]) for c in chosen],
     ]
     return df.select(
         event_id(*id_parts).alias("event_id"),

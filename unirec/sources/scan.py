@@ -63,7 +63,7 @@ def unwrap_records(docs: DataFrame, column: str, keep: tuple[str, ...] = ()) ->
     items = F.from_json(F.when(keys.isNotNull(), held).otherwise(doc), "array<string>")
     listed = docs.select(
         *keep,
-        (keys.isNull() & F.get_json_object(F.get(items, F.lit(0)), "$.text").isNotNull()).alias("_blocks"),
+        (keys.isNull() & F.coalesce(F.array_contains(F.json_object_keys(F.get(items, F.lit(0))), "text"), F.lit(False))).alias("_blocks"),
         F.explode_outer(items).alias("_item"),  # empty documents fall to the filter below
     )
     text = F.get_json_object("_item", "$.text")

@@ -38,13 +38,16 @@ def publish_increment(
 
 
 def diff_events(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], source: str, entity: str,
+    old: DataFrame, new: DataFrame, keys: Sequence[str], source: str, entity: str, version: str,
     event_time: Column | None = None, **envelope: object,
 ) -> DataFrame:
-    """INSERT / UPDATE / DELETE events of two snapshots, for a source that has no change timestamp."""
+    """INSERT / UPDATE / DELETE events of two snapshots, for a source that has no change timestamp.
+
+    ``version`` names the new snapshot.  It enters the ids, so that a change which comes again later is a new event.
+    """
     changes = snapshot_diff(old, new, keys)
     columns = [c for c in changes.columns if c not in ("event_type", "before")]
     before = json_ready(F.col("before"), changes.schema["before"].dataType)
     return encode_events(
-        changes, source, entity, F.col("event_type"), before=before, event_time=event_time,
+        changes, source, entity, F.col("event_type"), before=before, event_time=event_time, version=F.lit(version),
         payload_columns=columns, **envelope)

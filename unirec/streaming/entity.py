@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from unirec.operators.mapping import STRICT, apply_canonical_mapping, expand_canonical_fields
 from unirec.operators.upsert import ARRIVAL
 from unirec.sinks import raw, warehouse
-from unirec.sinks.golden import GoldenTable
-from unirec.sources.envelope import LOG_SCHEMA, dead_letters, decode_events, live_events
+from unirec.sinks.golden import BATCH, RUN, GoldenTable
+from unirec.sources.envelope import LOG_SCHEMA, dead_letters, decode_events, is_dead_letter, live_events
 from unirec.spec import EntitySpec
 
 # Trigger intervals of the lake sinks and of the warehouse sink.
@@ -46,6 +48,7 @@ class EntityStream:
     datetimes: Sequence[str] = ()
     buckets: int | None = None
     sources: tuple[str, ...] | None = None
+    dedup_delay: str | None = None
 
     # --- layout ---
 
@@ -80,6 +83,35 @@ class EntityStream:
             self.canonical_rows(mapped), self.folder("warehouse"), batch_id, self.run, self.batch_timestamp,
             self.datetimes)
 
+    # --- counts ---
+
+    def count_rows(self, batch: DataFrame, sinks: Sequence[str]) -> dict[str, int]:
+        """Rows of one batch: as read, and as handed to each sink."""
+        live = ~is_dead_letter()
+        checks = [F.count("*").alias("input"), F.count_if(live).alias("live")]
+        if "canonical" in sinks:
+            no_key = reduce(or_, [F.col("canonical")[k].isNull() for k in self.spec.keys()])
+            checks.append(F.count_if(live & no_key).alias("quarantine"))
+        row = batch.agg(*checks).first().asDict()
+        counts = {"input": row["input"]}
+        if "raw" in sinks:
+            counts |= {"raw": row["live"], "dead_letters": row["input"] - row["live"]}
+        if "canonical" in sinks:
+            counts |= {"canonical": row["live"] - row["quarantine"], "quarantine": row["quarantine"]}
+        if "warehouse" in sinks:
+            counts["warehouse"] = row["live"]
+        return counts
+
+    def write_counts(self, counts: dict[str, int], query: str, batch_id: int) -> None:
+        rows = self.spark.createDataFrame(list(counts.items()), "sink string, n_rows bigint")
+        folder = f"{self.folder('counts')}/query={query}"
+        rows.coalesce(1).write.mode("overwrite").parquet(raw.batch_folder(folder, self.run, batch_id))
+
+    def read_counts(self) -> DataFrame:
+        """query, _run, _batch_id, sink, n_rows: every batch ever written, none lost to a bounded history."""
+        schema = f"sink string, n_rows bigint, query string, {RUN} int, {BATCH} bigint"
+        return self.spark.read.schema(schema).parquet(self.folder("counts"))
+
     # --- tables ---
 
     @cached_property
@@ -121,14 +153,18 @@ class EntityStream:
         writers = [getattr(self, f"write_{s}") for s in SINKS if s in sinks]
         name = "_".join(s for s in SINKS if s in sinks)
         plan = decode_events(log, keep_raw=True) if set(sinks) == {"raw"} else self.mapped(log)
+        if self.dedup_delay is not None:
+            plan = drop_repeated_events(plan, self.dedup_delay)
         interval = WAREHOUSE_TRIGGER if set(sinks) == {"warehouse"} else LAKE_TRIGGER
 
         def run_batch(batch: DataFrame, batch_id: int) -> None:
             kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                if kept.count():  # fills the cache, so no writer reads the source again
+                counts = self.count_rows(kept, sinks)  # fills the cache, so no writer reads the source again
+                if counts["input"]:
                     for write in writers:
                         write(kept, batch_id)
+                    self.write_counts(counts, name, batch_id)
             finally:
                 kept.unpersist()
 
@@ -142,5 +178,10 @@ class EntityStream:
 
 
 def drop_repeated_events(decoded: DataFrame, delay: str, time_column: str = "kafka_timestamp") -> DataFrame:
-    """Events whose id was already seen within ``delay`` are dropped: publishing is at-least-once."""
-    return decoded.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(["event_id"])
+    """Events whose id was already seen within ``delay`` are dropped: publishing is at-least-once.
+
+    Dead letters have no id; they count by their place in the log and all stay.
+    """
+    place = F.concat_ws("-", F.lit("at"), "kafka_partition", "kafka_offset")
+    marked = decoded.withColumn("_seen", F.coalesce("event_id", place)).withWatermark(time_column, delay)
+    return marked.dropDuplicatesWithinWatermark(["_seen"]).drop("_seen")
