@@ -252,8 +252,14 @@ def _general(rules: list[SourceRule], targets: list[Target], conditions: dict[st
             text_of(entry["value"], entry["kind"], F.col("payload"), entry["key"]).alias("text"),
         )
 
+    def folded(members: Column) -> Column:
+        """A key that is repeated exactly stands at its first place with its last value, as in a JSON object."""
+        distinct = F.array_distinct(F.transform(members, lambda e: e["key"]))
+        last = F.transform(distinct, lambda k: F.element_at(F.filter(members, lambda e: e["key"] == k), -1))
+        return F.when(F.size(distinct) == F.size(members), members).otherwise(last)
+
     # Entries that name a field; the last one of the payload comes first.
-    members = F.map_entries(F.from_json("payload", "map<string,variant>", JSON_OPTIONS))
+    members = _let(F.map_entries(F.from_json("payload", "map<string,variant>", JSON_OPTIONS)), folded)
     entries = _let(_code_lookup(rules, targets, conditions), lambda lookup: F.transform(
         members,
         lambda e: F.struct(
