@@ -52,7 +52,7 @@ BLOCK = ("block long, doc_ids array<long>, train array<boolean>, sizes array<int
 
 
 def coded_blocks(docs: DataFrame) -> DataFrame:
-    """One row per block: its documents, the word number of every token (i32), and per distinct word the bytes, the
+    """One row per block: its documents, the word number of every token, and per distinct word the bytes, the
     number of times in training documents, and the class that its ending gives."""
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -62,6 +62,11 @@ def coded_blocks(docs: DataFrame) -> DataFrame:
                 train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 data, begin, end, counts = word_spans(batch.column(2), SPACED)
                 _, first, codes = np.unique(word_hashes(data, begin, end), return_index=True, return_inverse=True)
+                # The most frequent words have the smallest numbers, so that most numbers need two bytes.
+                order = np.argsort(-np.bincount(codes, minlength=len(first)), kind="stable")
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                first, codes = first[order], place[codes]
                 b, e = begin[first], end[first]
                 weights = np.repeat(train, counts).astype(float)
                 times = np.bincount(codes, weights, minlength=len(first)).astype(np.int32)
@@ -78,7 +83,7 @@ def coded_blocks(docs: DataFrame) -> DataFrame:
 
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block]), row(batch.column(0)), row(batch.column(1)), row(pa.array(counts.astype(np.int32))),
-                    pa.array([codes.astype("<i4").tobytes()], pa.binary()), row(words), row(pa.array(times)),
+                    pa.array([packed(codes)], pa.binary()), row(words), row(pa.array(times)),
                     row(pa.array((TOP + ending % ENDINGS).astype(np.int32)))],
                     names=["block", "doc_ids", "train", "sizes", "codes", "words", "times", "endings"])
                 block += 1
@@ -87,6 +92,16 @@ def coded_blocks(docs: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(code, BLOCK), "token-blocks")
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Numbers as all their lower halves, then all their upper halves, which are mostly 0."""
+    return (codes & 0xFFFF).astype("<u2").tobytes() + (codes >> 16).astype("<u2").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    low, high = np.frombuffer(data, "<u2").reshape(2, -1).astype(np.int64)
+    return low | high << 16
+
+
 def class_pairs(blocks: DataFrame, top: dict[bytes, int]) -> DataFrame:
     """prev * CLASSES + next, n: over all training documents, each between two ends."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +115,7 @@ def class_pairs(blocks: DataFrame, top: dict[bytes, int]) -> DataFrame:
                     at = pc.fill_null(known, -1).to_numpy()
                     classes = np.where(at >= 0, np.array(list(top.values()))[at], classes)
                 kept = np.repeat(train.values.to_numpy(zero_copy_only=False).astype(bool), sizes.values.to_numpy())
-                prev, this = sequences(classes[np.frombuffer(codes.as_py(), "<i4")[kept]], sizes.values.to_numpy()[train.values.to_numpy(zero_copy_only=False).astype(bool)])
+                prev, this = sequences(classes[unpacked(codes.as_py())[kept]], sizes.values.to_numpy()[train.values.to_numpy(zero_copy_only=False).astype(bool)])
                 total += np.bincount(prev * CLASSES + this, minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
@@ -196,7 +211,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         c[at], cls[at] = found.column("c").to_numpy(), found.column("class").to_numpy()
         c[n_words] = ends
         sizes = sizes.values.to_numpy()
-        tokens = np.insert(np.frombuffer(codes.as_py(), "<i4"), np.cumsum(sizes), n_words)
+        tokens = np.insert(unpacked(codes.as_py()), np.cumsum(sizes), n_words)
         this = cls[tokens]
         prev = np.append(END, this[:-1])
         log_c = np.log10(c + 1.0)
