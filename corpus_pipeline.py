@@ -55,11 +55,15 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the words that the mix takes of them.  A row for each pass over a source: a document taken
     whole is as it was, one of which the mix takes some blocks has their words (each with the white space after it)."""
-    rows, draws = mix(docs, MIX_BLOCK_WORDS, MIX_SHARD_BLOCKS, MIX_SEED)
+    d = keyed(docs)
+    named = d.select(F.struct("doc_id", "text_key").alias("doc_id"), "text", "source")
+    rows, draws = mix(named, MIX_BLOCK_WORDS, MIX_SHARD_BLOCKS, MIX_SEED)
     spans = draws.groupBy("row_id", "in_pass").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))
-    spans = stored(rows.join(spans, "row_id").select("doc_id", "size", "in_pass", "spans"), "mix-spans")
-    d = docs.select(*COLUMNS).alias("d")
-    taken = d.join(spans.alias("s").hint("merge"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))).select("d.*", "s.size", "s.spans")
+    spans = stored(rows.join(spans, "row_id").select("doc_id.*", "size", "spans"), "mix-spans")
+    # Equal rows have spans each; their text is needed once.
+    d, s = d.dropDuplicates(["doc_id", "text_key"]).alias("d"), spans.alias("s").hint("merge")
+    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_key") == F.col("s.text_key"))
+    taken = d.join(s, same).select("d.*", "s.size", "s.spans")
     whole = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["n_words"]) == F.col("size")
     cut = F.expr(r"""array_join(flatten(transform(spans, s -> slice(
         regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), int(s.first_word) + 1, int(s.n_words)))), '')""")
