@@ -7,7 +7,8 @@ spaces carry no label); a word of more than ``PIECE`` bytes is read in pieces.
 piece, so every distinct piece is read once and counted as often as it occurs; no text is cut off.
 
 Fitting uses a bounded sample: the ``docs_per_language`` documents per language with the smallest id hash, at most
-``max_docs`` in all, of those with a text and a label outside the held-out fold.  Prediction reads the text only.
+``max_docs`` in all, of those with a label outside the held-out fold and a text of at most ``MAX_BYTES`` bytes.
+Prediction reads the text only, and all of it.
 
 Null texts and texts without a letter are ``und`` with score 0.  Equal scores go to the language first by code point.
 Without any training row every document is ``und``.  Extra columns are ignored; rows that repeat are predicted each.
@@ -31,6 +32,7 @@ from unirec.llm.text import id_remainder
 PIECE = 24
 ROWS = 5000  # documents of a batch that are worked on at a time
 MEMO_PIECES = 400_000
+MAX_BYTES = 50_000  # of a text to learn from
 # Bytes as they are, but a space for what is neither an ASCII letter nor part of a character beyond ASCII.
 SPACED = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
 UNKNOWN = "und"
@@ -229,7 +231,8 @@ def training_sample(docs: DataFrame, usable: Column, docs_per_language: int, max
     ids = ids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= docs_per_language)
     ids = ids.orderBy("rank", "lang").limit(max_docs).select("doc_id").distinct()
     chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi")  # at most max_docs ids
-    return chosen.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").limit(2 * max_docs)
+    fit = usable & F.col("lang").isNotNull() & (F.octet_length("text") <= MAX_BYTES)
+    return chosen.filter(fit).select("lang", "text").limit(2 * max_docs)
 
 
 def train(sample: DataFrame, steps: int = 500, max_words: int = 400_000) -> ByteNet | None:
