@@ -19,7 +19,7 @@ from unirec.plans.registry import queries  # noqa: E402
 
 HEADLINE = (
     "encode_events", "decode_envelope", "canonical_customer", "canonical_order", "canonical_order_item",
-    "map_cast_int", "typed_expand", "latest_per_key_window", "latest_per_key_agg", "latest_per_key_composite",
+    "map_cast_int", "map_key_case", "map_duplicate_target", "typed_expand", "latest_per_key_window", "latest_per_key_agg", "latest_per_key_composite",
     "latest_per_key_hot", "upsert_insert_update", "upsert_two_batches_arrival", "upsert_event_time_guard",
     "snapshot_diff", "incremental_scan", "wrapped_records", "infer_json_types", "merge_key_candidates",
     "raw_append_partitions", "warehouse_append_batches", "golden_table_batches", "stream_canonical_upsert",
