@@ -14,11 +14,14 @@ extra columns are ignored; two empty archives agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import stored
-from unirec.llm.placing import with_running_total
 
 LEAF_BYTES = 1 << 20
 FANOUT = 16
@@ -34,10 +37,26 @@ def warc_record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def archive(pages: DataFrame) -> DataFrame:
-    """page_id, offset, length, record."""
-    records = pages.select("page_id", warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
-    records = records.withColumn("length", F.octet_length("record").cast("long") + 4)
-    return with_running_total(records, [], ["page_id", "record"], "length", "offset", "archive").select("page_id", "offset", "length", "record")
+    """page_id, offset, length, record.
+
+    Records are dealt by ranges of their order, which moves them once; each range adds up its own lengths as it is
+    written, and gets the length of the ranges before it by a table of one row per shuffle partition.
+    """
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for batch in batches:
+            ends = before + np.cumsum(batch.column(1).to_numpy())
+            begin = pa.array(ends - batch.column(1).to_numpy(), pa.int64())
+            before = int(ends[-1]) if len(ends) else before
+            yield pa.RecordBatch.from_arrays([*batch.columns, begin], names=["page_id", "length", "record", "part", "begin"])
+
+    records = pages.select(F.col("page_id").cast("long").alias("page_id"), warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    records = records.select("page_id", (F.octet_length("record").cast("long") + 4).alias("length"), "record")
+    dealt = records.repartitionByRange("page_id").sortWithinPartitions("page_id", "record").withColumn("part", F.spark_partition_id())
+    placed = stored(dealt.mapInArrow(lengths, "page_id long, length long, record string, part int, begin long"), "archive")
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("part").agg(F.sum("length").alias("n")).select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    return placed.join(F.broadcast(parts), "part").select("page_id", (F.col("begin") + F.col("ahead")).alias("offset"), "length", "record")
 
 
 def write_warc(records: DataFrame, path: str) -> None:

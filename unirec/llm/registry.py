@@ -49,7 +49,7 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive of all pages against a replica of it that has decayed: the damaged records and where they are."""
-    records = stored(archive(table(spark, sf_dir, "pages")), "warc")
+    records = archive(table(spark, sf_dir, "pages"))
     found = audit(records, decayed(records, DECAY_EVERY))
     return records.select("page_id", "offset", "length").join(found, "offset")
 
