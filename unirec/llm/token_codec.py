@@ -41,7 +41,7 @@ HEADER = struct.Struct("<4sIQIQ")
 UNEVEN = r"[\x00-\x20] | [\x00-\x20]|\A | \z|[\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 TAIL = frozenset(".,;:!?")
 SPARE = "."
-CACHE_PIECES = 350_000
+CACHE_PIECES = 700_000
 
 
 class ByteBpe:
@@ -243,7 +243,7 @@ def unpack_block(book: Codebook, block: bytes) -> tuple[np.ndarray, np.ndarray,
 # --- Spark ------------------------------------------------------------------------------------------------------
 
 SLICE = 512  # rows of a batch that are worked on at a time
-ENCODED_ROWS = 4096  # more, so that a word is met more often in a batch
+ENCODED_ROWS = 3000  # more, so that a word is met more often in a batch
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
