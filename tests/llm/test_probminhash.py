@@ -75,6 +75,19 @@ def test_classes_equal_brute_force(spark, monkeypatch):
     check(spark, docs)
 
 
+def test_repeated_lines(spark):
+    """Plain Jaccard 0.8 or more and counts that differ: 40 pairs in each of three ways."""
+    rng = random.Random(8)
+    docs = []
+    for g in range(40):
+        words = [f"g{g}x{i}" for i in range(104)]  # 100 shingles
+        line = [f"g{g}y{i}" for i in range(20)]
+        for a, b in ((words, words + line * 20), (words, words + line * 100), (words + words[:54], words + words[:54] * 50)):
+            tag = f"t{rng.randrange(10 ** 9)}"
+            docs += [(len(docs), " ".join(tag + w for w in a)), (len(docs) + 1, " ".join(tag + w for w in b))]
+    check(spark, docs)
+
+
 def test_empty_and_single(spark):
     check(spark, [])
     check(spark, [(1, "a lone document with some words in it")])

@@ -3,8 +3,10 @@
 Shingles are runs of five words (letters, digits and characters beyond ASCII, A-Z in lower case) with the weight
 1 + ln(count).  Every shingle is a Poisson process of its weight whose arrivals fall on random registers; a register
 keeps the shingle that arrives first, and a text stops when no later arrival can be first anywhere.  Two registers
-agree with the probability Jaccard of the two texts.  120 registers make 24 bands of 5: a pair at 0.8 is missed with
-a probability of 7e-5.
+agree with the probability Jaccard of the two texts.  120 registers make 24 bands of 5.  A text whose counts are not
+all 1 is signed a second time with the weight 1 of every shingle, by which a text whose counts are all 1 is signed
+anyway: those registers agree with the plain Jaccard, and a pair at 0.8 is missed with a probability of 7e-5 whatever
+its counts are.
 
 Texts that share a band are candidates.  Texts with equal words are one node.  A candidate pair is linked when the
 Jaccard of their shingle sets, worked out from the texts, is 0.8 or more; classes are the connected components.
@@ -81,23 +83,36 @@ def registers(shingle: np.ndarray, owner: np.ndarray, weight: np.ndarray, texts:
     return kept.reshape(texts, m)
 
 
+def banded(kept: np.ndarray) -> np.ndarray:
+    """texts x BANDS: one number for the registers of each band."""
+    kept = kept.reshape(-1, BANDS, BAND_ROWS)
+    with np.errstate(over="ignore"):
+        band = np.broadcast_to(mixed(np.arange(1, BANDS + 1, dtype=np.uint64)), kept.shape[:2])
+        for k in range(BAND_ROWS):
+            band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + kept[:, :, k])
+    return band
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, node (digest of the words; null without words) and bands."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salts = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 shingle, owner, times, counts, digests = text_shingles(batch.column(2))
-                kept = registers(shingle, owner, 1 + np.log(times), len(counts)).reshape(-1, BANDS, BAND_ROWS)
-                with np.errstate(over="ignore"):
-                    band = np.broadcast_to(salts, kept.shape[:2])
-                    for k in range(BAND_ROWS):
-                        band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + kept[:, :, k])
                 blank = counts == 0
+                weighted = banded(registers(shingle, owner, 1 + np.log(times), len(counts)))
+                # Repeated shingles: the texts are numbered anew for the second signing.
+                again = np.zeros(len(counts), bool)
+                again[owner[times > 1]] = True
+                number, of = np.cumsum(again) - 1, again[owner]
+                plain = weighted.copy()
+                plain[again] = banded(registers(shingle[of], number[owner[of]], np.ones(int(of.sum())), int(again.sum())))
+                # A band stands once in a text.
+                wanted = np.stack([np.broadcast_to(~blank[:, None], weighted.shape), plain != weighted], 1)
                 node = pa.array([d.tobytes() for d in digests], pa.binary(), mask=blank)
-                offsets = np.append(0, np.cumsum(np.where(blank, 0, BANDS))).astype(np.int32)
-                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(band[~blank]).reshape(-1).view(np.int64)))
+                offsets = np.append(0, np.cumsum(wanted.sum((1, 2)))).astype(np.int32)
+                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.stack([weighted, plain], 1)[wanted].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), node, bands], names=["doc_id", "text_key", "node", "bands"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
