@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from unirec.llm.language import PIECE, ByteNet, held_out, identify, language_model, pieces_of, predict, training_sample
+from unirec.llm.language import MAX_BYTES, PIECE, ByteNet, held_out, identify, language_model, pieces_of, predict, training_sample
 
 
 def test_pieces_cover_whole_texts():
@@ -62,6 +62,21 @@ def test_sample_is_bounded_and_spares_the_held_out(spark):
     assert all(zlib.crc32(str(i).encode()) % 4 != 2 and i % 5 for i in ids)
 
 
+def test_long_and_empty_texts_leave_no_places_open(spark):
+    rows = [(i, ["x " * MAX_BYTES, None, "", "12 -"][i % 4], "a") for i in range(60)] + [(i, f"fits {i}", "a") for i in range(60, 66)]
+    rows += [(i, "only long ones " * MAX_BYTES, "b") for i in range(70, 73)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = training_sample(docs, F.lit(True), 5, 100).collect()
+    assert sum(r.lang == "a" and r.text.startswith("fits") for r in got) == 5 and sum(r.lang == "a" for r in got) == 5
+    assert sum(r.lang == "b" for r in got) == 3 and all(0 < len(r.text.encode()) <= MAX_BYTES for r in got)
+
+
+def test_sample_of_a_repeated_id_is_the_same_each_time(spark):
+    docs = spark.createDataFrame([(7, f"text {i}", "a") for i in range(300)] + [(7, "equal", "a")] * 50, "doc_id long, text string, lang string")
+    first, second = (sorted(r.text for r in training_sample(docs.repartition(n, F.rand(n)), F.lit(True), 20, 10).collect()) for n in (3, 7))
+    assert first == second and len(set(first)) == len(first) == 10
+
+
 def test_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert language_model(docs) is None

@@ -1,13 +1,14 @@
 """Language identification by a bidirectional gated recurrent network over bytes, in numpy.
 
-The network reads a word as bytes in both directions, labels every byte, and is trained by backpropagation through
+The network reads a word as bytes in both directions, labels every byte of it, and is trained by backpropagation through
 time.  A document's probabilities pool the log-probabilities of all its positions: their mean per language, made a
 distribution again.  Words are runs of ASCII letters and characters beyond ASCII, in lower case (digits, marks and
 spaces carry no label); a word of more than ``PIECE`` bytes is read in pieces.  The network starts anew at each
 piece, so every distinct piece is read once and counted as often as it occurs; no text is cut off.
 
 Fitting uses a bounded sample: the ``docs_per_language`` documents per language with the smallest id hash, at most
-``max_docs`` in all, of those with a label outside the held-out fold and a text of at most ``MAX_BYTES`` bytes.
+``max_docs`` in all, of those with a label outside the held-out fold and a word to read.  Texts of at most ``MAX_BYTES``
+bytes go first; where a language has too few, the beginnings of longer ones are learned from.
 Prediction reads the text only, and all of it.
 
 Null texts and texts without a letter are ``und`` with score 0.  Equal scores go to the language first by code point.
@@ -36,6 +37,7 @@ MAX_BYTES = 50_000  # of a text to learn from
 # Bytes as they are, but a space for what is neither an ASCII letter nor part of a character beyond ASCII.
 SPACED = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
 UNKNOWN = "und"
+READABLE = r"[^\x00-@\[-`{-\x7F]"  # a byte that is labelled
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -225,14 +227,18 @@ def predict(net: ByteNet, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 
 def training_sample(docs: DataFrame, usable: Column, docs_per_language: int, max_docs: int) -> DataFrame:
-    """text, lang of the bounded sample; the choice is made on ids alone, then the chosen texts are read."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
-    ids = ids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= docs_per_language)
-    ids = ids.orderBy("rank", "lang").limit(max_docs).select("doc_id").distinct()
-    chosen = docs.join(F.broadcast(ids), "doc_id", "left_semi")  # at most max_docs ids
-    fit = usable & F.col("lang").isNotNull() & (F.octet_length("text") <= MAX_BYTES)
-    return chosen.filter(fit).select("lang", "text").limit(2 * max_docs)
+    """text, lang of the bounded sample; the choice is made on ids, hashes and sizes alone, then the chosen texts are read.
+    Texts that fit come first; of a longer one the beginning is learned from.  Equal rows count once."""
+    long = F.octet_length("text") > MAX_BYTES
+    read = F.when(long, F.substring("text", 1, MAX_BYTES // 4)).otherwise(F.col("text"))
+    rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    rows = rows.select("doc_id", "lang", read.alias("text"), F.xxhash64("text").alias("text_key"), long.alias("long")).filter(F.col("text").rlike(READABLE))
+    key = ["lang", "doc_id", "text_key"]
+    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id", "text_key")
+    ids = rows.select(*key, "long").distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= docs_per_language)
+    ids = ids.orderBy("rank", "lang").limit(max_docs).select(*key)
+    chosen = rows.join(F.broadcast(ids), key, "left_semi")  # at most max_docs ids
+    return chosen.groupBy(*key).agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def train(sample: DataFrame, steps: int = 500, max_words: int = 400_000) -> ByteNet | None:
