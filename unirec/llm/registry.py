@@ -10,6 +10,7 @@ from unirec.llm.bilinear import score_documents
 from unirec.llm.chat_format import format_conversations, read_back
 from unirec.llm.decontaminate import decontaminate
 from unirec.llm.digest_index import exact_dedup
+from unirec.llm.fill_middle import fill_in_middle, restored
 from unirec.llm.fixity import archive, audit, decayed
 from unirec.llm.language import held_out, identify, language_model
 from unirec.llm.mixing import taken_words
@@ -82,6 +83,13 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(table(spark, sf_dir, "documents"))
+    back = restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
@@ -93,6 +101,7 @@ QUERIES = {
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_mixing": op9_mixing,
     "op10_probminhash": op10_probminhash,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -158,6 +167,19 @@ ORACLES = {
         SELECT doc_id, n_bytes, 'b' || prefix AS shard, depth, shard_bytes::BIGINT AS shard_bytes
         FROM p WHERE shard_bytes <= {SHARD_BYTES}
         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1""",
+    "op11_fill_in_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        u AS (SELECT doc_id, t, length(t) AS n, [('0x' || substr(h, 1, 8))::UBIGINT, ('0x' || substr(h, 9, 8))::UBIGINT,
+                     ('0x' || substr(h, 17, 8))::UBIGINT, ('0x' || substr(h, 25, 8))::UBIGINT] AS h FROM d),
+        c AS (SELECT *, least(h[1] % (n + 1)::UBIGINT, h[2] % (n + 1)::UBIGINT)::BIGINT AS a, greatest(h[1] % (n + 1)::UBIGINT, h[2] % (n + 1)::UBIGINT)::BIGINT AS b,
+                     CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                          WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+        p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p""",
 }
 
 
