@@ -18,12 +18,14 @@ from unirec.llm.probminhash import near_duplicates
 from unirec.llm.sharding import write_shards
 from unirec.llm.text import table
 from unirec.llm.token_codec import read_ids, write_ids
+from unirec.llm.vector_codes import Coding, compress
 
 SHARD_BYTES = 64 * 1024 * 1024
 DECAY_EVERY = 50
 MIX_BLOCK_WORDS = 512
 MIX_SHARD_BLOCKS = 4096
 MIX_SEED = 20240101
+CODING = Coding(parts=8, entries=16, rounds=6, scale=4096)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +92,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"), CODING).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_exact_dedup": op2_exact_dedup,
@@ -102,8 +108,38 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_probminhash": op10_probminhash,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+
+
+def lloyd_sql(coding: Coding) -> str:
+    """Plain Lloyd rounds, one pair of steps for each; a distance and its entry travel as ``distance * entries + entry``."""
+    parts, entries = coding.parts, coding.entries
+    steps = [f"""
+        kept AS (SELECT row_number() OVER () AS r, vec_id, label, [floor(x::DOUBLE * {coding.scale})::BIGINT FOR x IN embedding] AS v FROM embeddings
+                 WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        piece AS MATERIALIZED (SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) t(p)),
+        start AS (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept QUALIFY e < {entries}),
+        book0 AS MATERIALIZED (SELECT p, e, x AS y FROM piece JOIN start USING (r))"""]
+    for k in range(coding.rounds + 1):
+        steps.append(f"""
+        near{k} AS MATERIALIZED (SELECT r, p, min(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x, y)])::BIGINT * {entries} + e) AS m
+                  FROM piece JOIN book{k} USING (p) GROUP BY r, p)""")
+        if k < coding.rounds:
+            steps.append(f"""
+        mean{k} AS (SELECT p, e, list((s - (s % c + c) % c) // c ORDER BY i)::BIGINT[] AS y
+                  FROM (SELECT p, m % {entries} AS e, i, sum(x[i]) AS s, count(*) AS c FROM near{k} JOIN piece USING (r, p), unnest(range(1, len(x) + 1)) t(i) GROUP BY ALL)
+                  GROUP BY p, e),
+        book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(n.y, o.y) AS y FROM book{k} o LEFT JOIN mean{k} n USING (p, e))""")
+    return f"""
+        WITH {",".join(steps)},
+        code AS (SELECT r, string_agg(printf('%02x', m % {entries}), '' ORDER BY p) AS code, sum(m // {entries})::BIGINT AS error FROM near{coding.rounds} GROUP BY r),
+        digest AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{coding.rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM kept JOIN code USING (r), digest"""
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 ORACLES = {
@@ -180,6 +216,7 @@ ORACLES = {
                       ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
                sha256(t) AS restored_sha256
         FROM p""",
+    "op13_vector_codes": lloyd_sql(CODING),
 }
 
 
