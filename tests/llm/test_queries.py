@@ -15,7 +15,7 @@ def con():
 
 
 def test_one_query_per_operator():
-    assert {int(n[2:].split("_")[0]) for n in queries()} == set(range(1, 12)) | {13}
+    assert {int(n[2:].split("_")[0]) for n in queries()} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))

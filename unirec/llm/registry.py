@@ -18,6 +18,8 @@ from unirec.llm.probminhash import near_duplicates
 from unirec.llm.sharding import write_shards
 from unirec.llm.text import table
 from unirec.llm.token_codec import read_ids, write_ids
+from unirec.llm.toxicity import held_out as toxic_held_out
+from unirec.llm.toxicity import scored, toxicity_model
 from unirec.llm.vector_codes import Coding, compress
 
 SHARD_BYTES = 64 * 1024 * 1024
@@ -92,6 +94,13 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = toxic_held_out(F.col("doc_id"))
+    found = scored(docs, toxicity_model(docs, table(spark, sf_dir, "labels"), ~fold), ["doc_id"])
+    return found.select("doc_id", fold.alias("held_out"), "score", "predicted")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(table(spark, sf_dir, "embeddings"), CODING).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
@@ -108,6 +117,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_probminhash": op10_probminhash,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_toxicity": op12_toxicity,
     "op13_vector_codes": op13_vector_codes,
 }
 
