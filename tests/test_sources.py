@@ -11,7 +11,7 @@ from unirec.functions.shared import new_folder
 from unirec.operators.match import match_entities, propose_mappings
 from unirec.operators.profile import infer_json_columns, merge_key_candidates
 from unirec.sinks.warehouse import coerce_datetimes, create_namespace, create_or_append, datetime_columns
-from unirec.sources.catalog import dictionary_catalog, information_schema_catalog, normalise_columns
+from unirec.sources.catalog import column_statistics, dictionary_catalog, information_schema_catalog, normalise_columns, with_statistics
 from unirec.sources.envelope import (
     LOG_SCHEMA, dead_letters, decode_events, encode_events, event_key, live_events, serialise, valid_event_type,
 )
@@ -229,3 +229,15 @@ def test_wide_integers_are_integers(spark):
     docs = spark.createDataFrame([('{"v":99999999999999999999}',), ('{"v":1}',)], "doc string")
     row = infer_json_columns(docs, "doc").first()
     assert (row["data_type"], row["row_count"]) == ("integer", 2)
+
+
+def test_column_statistics_count_values(spark):
+    table = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "id long, `a.b` string")
+    none = table.limit(0)
+    got = {(r.table, r.name): (r.row_count, r.value_count) for r in column_statistics({"t": table, "empty": none}).collect()}
+    assert got == {("t", "id"): (3, 3), ("t", "a.b"): (3, 1), ("empty", "id"): (0, 0), ("empty", "a.b"): (0, 0)}
+    columns = spark.createDataFrame([("public", "t", 1, "id", "bigint", "NO"), ("public", "t", 2, "other", "text", "YES")],
+                                    "table_schema string, table_name string, ordinal_position int, column_name string, data_type string, is_nullable string")
+    tables = spark.createDataFrame([("public", "t", "BASE TABLE")], "table_schema string, table_name string, table_type string")
+    found = with_statistics(information_schema_catalog(tables, columns, "public", "db"), column_statistics({"t": table}))
+    assert [(r.name, r.row_count, r.value_count) for r in found.orderBy("ordinal").collect()] == [("id", 3, 3), ("other", None, None)]

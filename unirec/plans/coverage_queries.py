@@ -8,38 +8,37 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unirec.functions.shared import new_folder
+from unirec.functions.shared import new_folder, stored
 from unirec.operators.profile import merge_key_candidates
 from unirec.plans.derived import CUSTOMER, INGEST_DATE, source_rows, table
-from unirec.plans.discovery_queries import given_tables
+from unirec.plans.discovery_queries import TABLES, given_tables
 from unirec.plans.mapping_queries import json_object, map_rows, rule_spec
 from unirec.plans.sql import CUSTOMER_ROWS, canonical, customer_time, latest
 from unirec.plans.stream_queries import ALL_NOW, BATCH_STAMP, POSITION
 from unirec.sinks.warehouse import create_or_append
-from unirec.sources.catalog import dictionary_catalog, information_schema_catalog
+from unirec.sources.catalog import column_statistics, dictionary_catalog, information_schema_catalog, with_statistics
 from unirec.sources.envelope import decode_events
 from unirec.sources.topics import file_log, file_log_stream
 from unirec.streaming.backfill import publish_increment
 from unirec.streaming.entity import EntityStream
 
+SHOWN = ["source", "database", "table", "ordinal", "name", "nullable", "is_primary_key", "row_count", "value_count"]
 MIDDLE = datetime(2024, 1, 15)
 
 
-def described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """table, ordinal, name, data_type of the given tables, with the number of rows that each column holds values in."""
-    parts = None
-    for name, df in given_tables(spark, sf_dir).items():
-        fields = F.array(*[
-            F.struct(F.lit(name).alias("table"), F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("name"),
-                     F.lit(f.dataType.simpleString()).alias("data_type")) for i, f in enumerate(df.schema.fields)])
-        rows = df.agg(F.count("*").alias("n")).select(F.explode(fields).alias("c"), "n").select("c.*", "n")
-        parts = rows if parts is None else parts.unionByName(rows)
-    return parts
+def described(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """table, ordinal, name, data_type of the given tables, and the statistics of their columns."""
+    tables = given_tables(spark, sf_dir)
+    rows = [(name, i + 1, f.name, f.dataType.simpleString()) for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
+    columns = spark.createDataFrame(rows, "table string, ordinal int, name string, data_type string")
+    return columns, stored(column_statistics(tables), "column-statistics")
 
 
 def information_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given tables as ``information_schema`` views, beside a view, another schema and a table without a name."""
-    columns = described(spark, sf_dir)
+    columns, statistics = described(spark, sf_dir)
+    # As such a system keeps them, a column without null is declared NOT NULL.
+    columns = columns.join(statistics, ["table", "name"])
     names = columns.select("table").distinct()
 
     def listed(name, kind: str, schema: str) -> DataFrame:
@@ -51,15 +50,15 @@ def information_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = columns.select(
         F.explode(F.array(F.lit("public"), F.lit("other"))).alias("table_schema"), F.col("table").alias("table_name"),
         F.col("ordinal").alias("ordinal_position"), F.col("name").alias("column_name"), "data_type",
-        F.when(F.col("ordinal") > 1, "YES").otherwise("NO").alias("is_nullable"))
+        F.when(F.col("value_count") < F.col("row_count"), "YES").otherwise("NO").alias("is_nullable"))
     shown = shown.unionByName(shown.filter("table_schema = 'public'").withColumn("table_name", F.concat("table_name", F.lit("_view"))))
-    found = information_schema_catalog(tables, shown, "public", "db")
-    return found.select("source", "database", "table", "ordinal", "name", "nullable", "is_primary_key")
+    return with_statistics(information_schema_catalog(tables, shown, "public", "db"), statistics).select(*SHOWN)
 
 
 def data_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given tables as a data dictionary with padded names, a view and another database."""
-    columns = described(spark, sf_dir)
+    columns, statistics = described(spark, sf_dir)
+    columns = columns.join(statistics, ["table", "name"])
     pad = lambda c: F.rpad(c, 30, " ")
     names = columns.select("table").distinct()
     tables = names.select(pad(F.lit("dw")).alias("DatabaseName"), pad(F.col("table")).alias("TableName"), F.lit("T").alias("TableKind"))
@@ -67,17 +66,22 @@ def data_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = columns.select(
         F.explode(F.array(F.lit("dw"), F.lit("old"))).alias("DatabaseName"), pad(F.col("table")).alias("TableName"),
         F.col("ordinal").alias("ColumnId"), pad(F.col("name")).alias("ColumnName"), pad(F.col("data_type")).alias("ColumnType"),
-        F.when(F.col("ordinal") > 1, "Y").otherwise("N").alias("Nullable"))
+        F.when(F.col("value_count") < F.col("row_count"), "Y").otherwise("N").alias("Nullable"))
     shown = shown.withColumn("DatabaseName", pad(F.col("DatabaseName")))
-    found = dictionary_catalog(tables, shown, "dw")
-    return found.select("source", "database", "table", "ordinal", "name", "nullable", "is_primary_key")
+    return with_statistics(dictionary_catalog(tables, shown, "dw"), statistics).select(*SHOWN)
 
 
 def catalog_sql(source: str, database: str) -> str:
+    """Columns of the given tables alone, with counts of their rows and values."""
+    counts = " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", name, value_count, (SELECT count(*) FROM {t}) AS row_count
+  FROM (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM {t}) ON COLUMNS(*) INTO NAME name VALUE value_count)""" for t in TABLES)
     return f"""
-SELECT '{source}' AS source, '{database}' AS database, table_name AS "table", CAST(ordinal_position AS INTEGER) AS ordinal, column_name AS name,
-  ordinal_position > 1 AS nullable, false AS is_primary_key
-FROM information_schema.columns"""
+WITH counts AS ({counts}),
+places AS (SELECT table_name AS "table", column_name AS name, min(ordinal_position) AS ordinal FROM information_schema.columns GROUP BY ALL)
+SELECT '{source}' AS source, '{database}' AS database, "table", CAST(ordinal AS INTEGER) AS ordinal, name,
+  value_count < row_count AS nullable, false AS is_primary_key, row_count, value_count
+FROM counts JOIN places USING ("table", name)"""
 
 
 def poll_created_ts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,6 +89,23 @@ def dictionary_catalog(tables: DataFrame, columns: DataFrame, database: str) ->
     return _catalog(rows, "teradata", "teradata", database).orderBy("table", "ordinal")
 
 
+def column_statistics(tables: dict[str, DataFrame]) -> DataFrame:
+    """``table, name, row_count, value_count`` of every column: its rows and its values that are not null."""
+    parts = []
+    for table, df in tables.items():
+        counts = df.agg(F.count("*").alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(df.columns)])
+        each = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"_{i}").alias("value_count")) for i, c in enumerate(df.columns)])
+        parts.append(counts.select(F.lit(table).alias("table"), F.explode(each).alias("c"), F.col("_rows").alias("row_count"))
+                     .select("table", "c.name", "row_count", "c.value_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def with_statistics(catalog: DataFrame, statistics: DataFrame) -> DataFrame:
+    """The catalogue with ``row_count`` and ``value_count`` from measured statistics; columns without them have nulls."""
+    measured = statistics.select("table", "name", "row_count", "value_count")
+    return catalog.drop("row_count").join(measured, ["table", "name"], "left").select(*CATALOG_COLUMNS, "value_count")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``table, row_count`` of every table."""
     counts = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table"), "row_count")
