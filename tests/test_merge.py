@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from unirec.functions.shared import new_folder
+from unirec.functions.shared import child_names, new_folder, path_exists
 from unirec.operators.diff import snapshot_diff
 from unirec.operators.latest import latest_per_key, latest_per_key_agg
 from unirec.operators.upsert import split_null_keys, upsert
@@ -209,3 +209,102 @@ def test_remove_needs_the_tombstones_of_its_target(spark):
     target = spark.createDataFrame([(1, "INSERT", "2024-01-01T00:00:00+00:00")], "id long, _event_type string, _event_timestamp string")
     with pytest.raises(ValueError):
         upsert(target, target, ["id"], mode="event_time", delete_policy="remove")
+
+
+def above(plan, name):
+    """For each leaf whose text holds ``name``: the nodes from the root down to it."""
+    node = plan
+    while node.nodeName() in ("AdaptiveSparkPlan", "ResultQueryStage"):
+        node = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan()
+    if node.children().isEmpty():
+        return [[node.nodeName()]] if name in node.toString() else []
+    return [[node.nodeName(), *path] for i in range(node.children().size()) for path in above(node.children().apply(i), name)]
+
+
+def bucket_files(spark, table):
+    root = f"{table.path}/base"
+    return {(v, b): sorted(n for n in child_names(spark, f"{root}/{v}/{b}") if n.endswith(".parquet"))
+            for v in child_names(spark, root) for b in child_names(spark, f"{root}/{v}") if b.startswith("_bucket=")}
+
+
+@pytest.mark.parametrize("mode", ["event_time", "arrival"])
+def test_golden_overlay_touches_changed_buckets_only(spark, mode):
+    df = rows(spark, *[(i, f"v{i}", "2024-01-01T00:00:00Z") for i in range(200)])
+    table = GoldenTable(spark, new_folder(spark, "golden-test"), df.schema, ["id"], mode, buckets=16)
+    table.write_batch(df, 0)
+    table.compact()
+    assert all(len(files) == 1 for files in bucket_files(spark, table).values())
+    before = bucket_files(spark, table)
+    table.write_batch(rows(spark, (7, "new", "2024-01-02T00:00:00Z"), (1000, "added", "2024-01-02T00:00:00Z")), 1)
+    hit = table.manifest().hit
+    assert 1 <= len(hit) <= 2
+    seen = table.read()
+    paths = above(seen._jdf.queryExecution().executedPlan(), "unirec_base")
+    assert len(paths) == 2 and all("Exchange" not in path and "Sort" not in path for path in paths), paths
+    joined = [path for path in paths if "ShuffledHashJoin" in path]
+    assert len(joined) == 1  # the other scan has no join above it
+    want = {i: f"v{i}" for i in range(200)} | {7: "new", 1000: "added"}
+    assert {r["id"]: r["v"] for r in seen.collect()} == want
+    table.compact()
+    after = bucket_files(spark, table)
+    assert all(after[place] == files for place, files in before.items())
+    assert sorted(set(after) - set(before)) == sorted((("v=2", f"_bucket={b}") for b in hit))
+    assert {r["id"]: r["v"] for r in table.read().collect()} == want and table.manifest().hit == ()
+    # What the second compaction replaced goes with the next one.
+    table.write_batch(rows(spark, (8, "newer", "2024-01-03T00:00:00Z")), 2)
+    table.compact()
+    kept = bucket_files(spark, table)
+    assert all(("v=1", f"_bucket={b}") not in kept for b in hit)
+    assert {r["id"]: r["v"] for r in table.read().collect()} == want | {8: "newer"}
+
+
+def test_golden_folds_bucket_by_bucket(spark):
+    """Some buckets are folded, others wait; a late event and a replay count once."""
+    df = rows(spark, *[(i, "a", "2024-01-01T00:00:00Z") for i in range(60)])
+    table = GoldenTable(spark, new_folder(spark, "golden-test"), df.schema, ["id"], "event_time", "remove", buckets=8)
+    table.write_batch(df, 0)
+    assert sum(r["n_changes"] for r in table.changes_per_bucket().collect()) == 60
+    table.compact([0, 1, 2])
+    want = {i: "a" for i in range(60)}
+    for batch in range(1, 6):
+        ids = range(batch * 5, batch * 5 + 20)
+        table.write_batch(rows(spark, *[(i, f"b{batch}", f"2024-01-0{1 + batch}T00:00:00Z") for i in ids], (3, "late", "2023-01-01T00:00:00Z")), batch)
+        want |= {i: f"b{batch}" for i in ids}
+        table.compact([batch, batch + 1])
+        now = table.manifest()
+        assert batch not in now.hit and now.fold(batch) == (0, batch)
+        assert {r["id"]: r["v"] for r in table.read().collect()} == want
+    again = GoldenTable(spark, table.path, df.schema, ["id"], "event_time", "remove", buckets=3)
+    assert {r["id"]: r["v"] for r in again.read().collect()} == want
+    again.rebucket(5)
+    assert again.manifest().buckets == 5 and {r["id"]: r["v"] for r in table.read().collect()} == want
+    again.write_batch(rows(spark, (59, "last", "2024-02-01T00:00:00Z")), 6)
+    again.compact()
+    assert {r["id"]: r["v"] for r in table.read().collect()} == want | {59: "last"}
+    empty = GoldenTable(spark, new_folder(spark, "golden-test"), df.schema, ["id"], buckets=2)
+    empty.compact()
+    empty.rebucket(4)
+    assert empty.read().count() == 0 and empty.changes_per_bucket().count() == 0
+
+
+def test_reader_of_an_old_manifest_goes_on(spark):
+    df = rows(spark, *[(i, "a", "2024-01-01T00:00:00Z") for i in range(20)])
+    table = GoldenTable(spark, new_folder(spark, "golden-test"), df.schema, ["id"], buckets=4)
+    table.write_batch(df, 0)
+    table.compact()
+    table.write_batch(rows(spark, (1, "b", "2024-01-02T00:00:00Z")), 1)
+    old = table.manifest()
+    reader = table.read_at(old)
+    table.compact()
+    assert {r["id"]: r["v"] for r in reader.collect()} == {r["id"]: r["v"] for r in table.read_at(old).collect()} == {i: "a" for i in range(20)} | {1: "b"}
+
+
+def test_nulls_are_written_only_where_there_are_any(spark):
+    df = rows(spark, (1, "a", "2024-01-01T00:00:00Z"))
+    table = golden(spark, df)
+    table.write_batch(df, 0)
+    assert not path_exists(spark, f"{table.path}/quarantine") and table.quarantine().count() == 0
+    table.write_batch(rows(spark, (None, "n", None)), 1)
+    assert table.quarantine().count() == 1
+    table.write_batch(rows(spark, (2, "n", None)), 1)
+    assert content(table.read()) == [(1, "a"), (2, "n")]

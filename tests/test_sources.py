@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from unirec.functions.names import entity_name, skeleton, snake
-from unirec.functions.shared import new_folder
+from unirec.functions.shared import child_names, new_folder, remove, write_state
 from unirec.operators.match import match_entities, propose_mappings
 from unirec.operators.profile import infer_json_columns, merge_key_candidates
 from unirec.sinks.warehouse import coerce_datetimes, create_namespace, create_or_append, datetime_columns
@@ -17,7 +17,8 @@ from unirec.sources.envelope import (
 )
 from unirec.sources.scan import incremental_scan, jdbc_options, unwrap_records
 from unirec.sources.topics import file_log, kafka_options, publish_to_file_log
-from unirec.sources.watermarks import advance_watermark, current_watermark
+from unirec.sources.watermarks import advance_watermark, current_watermark, watermarks
+from unirec.streaming.backfill import publish_increment
 
 
 def log_of(spark, values):
@@ -241,3 +242,41 @@ def test_column_statistics_count_values(spark):
     tables = spark.createDataFrame([("public", "t", "BASE TABLE")], "table_schema string, table_name string, table_type string")
     found = with_statistics(information_schema_catalog(tables, columns, "public", "db"), column_statistics({"t": table}))
     assert [(r.name, r.row_count, r.value_count) for r in found.orderBy("ordinal").collect()] == [("id", 3, 3), ("other", None, None)]
+
+
+def test_state_of_polls_stays_small(spark):
+    """Each poll replaces one record; no poll reads what earlier ones wrote."""
+    root = new_folder(spark, "polls")
+    log, marks = f"{root}/log", f"{root}/marks"
+    start = dt.datetime(2024, 1, 1)
+    files = set()
+    for k in range(12):
+        df = spark.createDataFrame([(i, start + dt.timedelta(hours=i)) for i in range(k + 1)], "id long, t timestamp")
+        for source in ("a/b", "ünï"):
+            assert publish_increment(df, source, "thing", "t", log, marks, key=F.col("id")) == 1
+        files.add(len(child_names(spark, f"{marks}/s-a%2Fb/e-thing")))
+        files.add(len(child_names(spark, f"{log}/_next_offset")))
+    assert max(files) <= 2
+    rows = file_log(spark, log).agg(F.count("*").alias("n"), F.countDistinct("offset").alias("d"), F.max("offset").alias("m")).first()
+    assert rows["n"] == rows["d"] == 24
+    assert {(r.source, r.watermark) for r in watermarks(spark, marks).collect()} == {(s, start + dt.timedelta(hours=11)) for s in ("a/b", "ünï")}
+    # Without its data files the log still knows the next offset, so it is not scanned.
+    remove(spark, f"{log}/topic=canonical.thing")
+    publish_increment(spark.createDataFrame([(99, start + dt.timedelta(days=9))], "id long, t timestamp"), "a/b", "thing", "t", log, marks)
+    assert file_log(spark, log).first()["offset"] > rows["m"]
+
+
+def test_marks_never_fall_and_broken_publishing_is_found(spark):
+    root = new_folder(spark, "polls")
+    high, low = dt.datetime(2024, 3, 1, 1, 2, 3, 456789), dt.datetime(2024, 2, 1)
+    assert advance_watermark(spark, root, "s", "e", high) and not advance_watermark(spark, root, "s", "e", low)
+    assert not advance_watermark(spark, root, "s", "e", high) and current_watermark(spark, root, "s", "e") == high
+    assert current_watermark(spark, root, "s", "other") is None and watermarks(spark, f"{root}/none").count() == 0
+    log = f"{root}-log"
+    events = encode_events(spark.createDataFrame([(1,), (2,)], "id long"), "s", "e", "INSERT")
+    publish_to_file_log(events, log)
+    last = file_log(spark, log).agg(F.max("offset")).first()[0]
+    write_state(spark, f"{log}/_next_offset", '{"next": 0, "open": true}')  # as a call that broke off leaves it
+    publish_to_file_log(events, log)
+    offsets = [r["offset"] for r in file_log(spark, log).select("offset").collect()]
+    assert len(set(offsets)) == 4 and sorted(offsets)[2] > last

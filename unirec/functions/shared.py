@@ -62,10 +62,11 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def write_state(spark: SparkSession, folder: str, text: str) -> None:
     """Put a small text in place of the one before.  Each write is a file of its own with the next number, so a
-    write that breaks off leaves the last one; all but the two newest go."""
+    write that breaks off leaves the last one; all but the two newest go.  Of two writers that start from the same text
+    the later one fails."""
     numbers = sorted(int(n) for n in child_names(spark, folder) if n.isdigit())
     fs, p = _path(spark, f"{folder}/{numbers[-1] + 1 if numbers else 0:012d}")
-    out = fs.create(p, True)
+    out = fs.create(p, False)
     out.write(bytearray((text + "\n").encode()))
     out.close()
     for n in numbers[:-1]:

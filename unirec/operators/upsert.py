@@ -72,6 +72,23 @@ def replace_newer(
     return both.select(F.when(change_wins, F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
 
 
+def overlay_rows(base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[Column] | None) -> DataFrame:
+    """Changes laid over a base, both with one row per key.  A change wins by arrival (``order`` is None) or when its order
+    is higher.  The changes of a partition are hashed and the base passes by: a base that is dealt by the keys is neither
+    shuffled nor sorted."""
+    columns = base.columns
+
+    def sided(df: DataFrame, side: str) -> DataFrame:
+        rank = [] if order is None else [F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias(f"_{side}_rank")]
+        return df.select(*keys, F.struct(*columns).alias(f"_{side}"), *rank)
+
+    both = sided(base, "old").join(sided(changes, "new").hint("shuffle_hash"), list(keys), "full_outer")
+    wins = F.col("_new").isNotNull()
+    if order is not None:
+        wins &= F.col("_old").isNull() | F.coalesce(F.col("_new_rank") > F.col("_old_rank"), F.lit(False))
+    return both.select(F.when(wins, F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
+
+
 def upsert(
     target: DataFrame | None,
     batch: DataFrame,

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from unirec.functions.shared import path_exists
+from unirec.functions.shared import child_names, read_state, write_state
 from unirec.sources.envelope import LOG_SCHEMA, serialise
 
 DEFAULT_PREFIX = "canonical"
 DEFAULT_PARTITIONS = 3
+NEXT_OFFSET = "_next_offset"
 
 
 def topics_of(entities: Sequence[str], prefix: str = DEFAULT_PREFIX) -> list[str]:
@@ -75,22 +77,37 @@ def file_log_stream(
 def publish_to_file_log(
     events: DataFrame, path: str, prefix: str = DEFAULT_PREFIX, partitions: int = DEFAULT_PARTITIONS,
 ) -> None:
-    """Append events to a file log.
+    """Append events to a file log; one publisher at a time.
 
-    Offsets grow with every call and are unique, but not dense: they need no global sort, so
-    publishing stays a map-only job.  Rows without a key are spread over the partitions.
+    Offsets grow with every call and are unique, but not dense: they need no global sort, so publishing stays a
+    map-only job.  The next offset is a small record beside the topics, so a call does not look at what earlier ones
+    wrote; only after a call that broke off is the log scanned for its highest offset.  Rows without a key are spread
+    over the partitions.
     """
     spark = events.sparkSession
-    base = 0
-    if path_exists(spark, path):
-        highest = spark.read.schema(LOG_SCHEMA).parquet(path).agg(F.max("offset")).first()[0]
-        base = 0 if highest is None else highest + 1
+    base = _next_offset(spark, path)
+    write_state(spark, f"{path}/{NEXT_OFFSET}", json.dumps({"next": base, "open": True}))
     number = F.monotonically_increasing_id()
     rows = serialise(events, prefix).withColumn("offset", number + F.lit(base).cast("long"))
     slot = F.when(F.col("key").isNotNull(), F.hash("key").cast("long")).otherwise(F.col("offset"))
+    written = Observation()
     rows.select(
         "key", "value", "topic",
         F.pmod(slot, F.lit(partitions)).cast("int").alias("partition"),
         "offset",
         F.current_timestamp().alias("timestamp"),
-    ).write.mode("append").partitionBy("topic").parquet(path)
+    ).observe(written, F.max("offset").alias("last")).write.mode("append").partitionBy("topic").parquet(path)
+    last = written.get["last"]
+    write_state(spark, f"{path}/{NEXT_OFFSET}", json.dumps({"next": base if last is None else last + 1, "open": False}))
+
+
+def _next_offset(spark: SparkSession, path: str) -> int:
+    text = read_state(spark, f"{path}/{NEXT_OFFSET}")
+    known = json.loads(text) if text else None
+    if known and not known["open"]:
+        return known["next"]
+    floor = known["next"] if known else 0
+    if not any(name.startswith("topic=") for name in child_names(spark, path)):
+        return floor
+    highest = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/topic=*").agg(F.max("offset")).first()[0]
+    return floor if highest is None else max(floor, highest + 1)

@@ -1,14 +1,14 @@
-"""High-water marks per source and entity, as a small append-only table."""
+"""High-water marks: one record per source and entity, replaced when a higher mark is written."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unirec.functions.shared import path_exists
+from unirec.functions.shared import child_names, read_state, write_state
 
 WATERMARK_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
@@ -17,19 +17,32 @@ WATERMARK_SCHEMA = T.StructType([
 ])
 
 
-def watermarks(spark: SparkSession, path: str) -> DataFrame:
-    """Current mark per source and entity: the highest one ever written, so a repeated write is harmless."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], WATERMARK_SCHEMA)
-    written = spark.read.schema(WATERMARK_SCHEMA).parquet(path)
-    return written.groupBy("source", "entity").agg(F.max("watermark").alias("watermark"))
+def _place(path: str, source: str, entity: str) -> str:
+    """Names are quoted, so that any of them is one folder (a dot in front would hide it)."""
+    return f"{path}/s-{quote(source, safe='')}/e-{quote(entity, safe='')}"
 
 
-def current_watermark(spark: SparkSession, path: str, source: str, entity: str) -> datetime | None:
-    mark = watermarks(spark, path).filter((F.col("source") == source) & (F.col("entity") == entity)).first()
-    return mark["watermark"] if mark else None
+def watermarks(spark: SparkSession, path: str) -> DataFrame:
+    """Current mark per source and entity; the work grows with their number and not with the polls."""
+    rows = []
+    for source in child_names(spark, path):
+        for entity in child_names(spark, f"{path}/{source}"):
+            names = unquote(source[2:]), unquote(entity[2:])
+            rows.append((*names, current_watermark(spark, path, *names)))
+    return spark.createDataFrame([r for r in rows if r[2] is not None], WATERMARK_SCHEMA)
 
 
-def advance_watermark(spark: SparkSession, path: str, source: str, entity: str, watermark: datetime) -> None:
-    row = spark.createDataFrame([(source, entity, watermark)], WATERMARK_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(path)
+def current_watermark(spark: SparkSession, path: str, source: str, entity: str) -> datetime | None:
+    """Local time without a zone, as Spark hands timestamps to Python."""
+    text = read_state(spark, _place(path, source, entity))
+    return datetime.fromisoformat(text).astimezone().replace(tzinfo=None) if text else None
+
+
+def advance_watermark(spark: SparkSession, path: str, source: str, entity: str, watermark: datetime) -> bool:
+    """Replace the mark if the new one is higher; a poll that is repeated or comes late changes nothing."""
+    now = current_watermark(spark, path, source, entity)
+    new = watermark.astimezone()
+    if now is not None and new <= now.astimezone():
+        return False
+    write_state(spark, _place(path, source, entity), new.astimezone(UTC).isoformat())
+    return True
