@@ -53,7 +53,7 @@ def test_sink_errors_stop_the_query(spark, sf_dir):
     log = new_folder(spark, "error-test")
     entity_log(spark, sf_dir, "customer").coalesce(1).write.partitionBy("topic").parquet(log)
     stream = EntityStream(spark, CUSTOMER, new_folder(spark, "stream-test"))
-    stream.write_raw = lambda batch, batch_id: 1 / 0
+    stream.write_raw = lambda batch, batch_id, day: 1 / 0
     query = stream.start(file_log_stream(spark, log, ["customer"]), ["raw"], ALL_NOW)
     with pytest.raises(Exception, match="division"):
         query.awaitTermination()

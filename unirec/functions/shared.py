@@ -60,6 +60,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, in place of the one before."""
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def write_state(spark: SparkSession, folder: str, text: str) -> None:
     """Put a small text in place of the one before.  Each write is a file of its own with the next number, so a
     write that breaks off leaves the last one; all but the two newest go.  Of two writers that start from the same text

@@ -10,7 +10,8 @@ the base is neither shuffled nor sorted.
     <path>/quarantine/_run=R/_batch_id=B/    rows with a null key, where a batch has any
     <path>/base/v=V/_bucket=K/               version V of bucket K, sorted by the keys
     <path>/position/                         the manifest: the last batch, and for each bucket its version, the batch it
-                                             is folded through, and whether it has changes beyond
+                                             is folded through, and whether it has changes beyond (or a record that the
+                                             table shares with other sinks)
 
 The manifest is one small file, so neither writing nor reading walks the folders of past batches, and a batch or
 compaction counts when the manifest has moved to it.  A compaction removes what the one before it had replaced and folded;
@@ -23,7 +24,6 @@ One writer at a time: batches and compactions of a table must not overlap.
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
@@ -31,15 +31,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unirec.functions.shared import child_names, path_exists, read_state, remove, write_state
+from unirec.functions.shared import child_names, path_exists, remove
 from unirec.operators.latest import event_order, latest_per_key
 from unirec.operators.survivorship import Survivorship, field_states, golden_records, newer_column
 from unirec.operators.upsert import (
     ARRIVAL, DELETE_POLICIES, DELETED, EVENT_TIME, has_null_key, mark_deleted, overlay_rows, split_null_keys, visible_rows,
 )
+from unirec.sinks.commits import Commits
 from unirec.sinks.raw import batch_folder
 
 RUN, BATCH, BUCKET = "_run", "_batch_id", "_bucket"
+SECTION = "canonical"
 
 Batch = tuple[int, int]
 
@@ -62,15 +64,11 @@ class Manifest:
         return cls(buckets, bases=(0,) * buckets, fold_of=(0,) * buckets)
 
     @classmethod
-    def from_text(cls, text: str) -> Manifest:
-        raw = json.loads(text)
+    def from_section(cls, raw: dict) -> Manifest:
         pairs = {k: tuple(tuple(x) if x is not None else None for x in raw[k]) for k in ("folds", "replaced")}
         lists = {k: tuple(raw[k]) for k in ("bases", "fold_of", "hit")}
         return cls(**raw | pairs | lists | {"batch": tuple(raw["batch"]) if raw["batch"] else None})
 
-    def to_text(self) -> str:
-        return json.dumps(asdict(self), separators=(",", ":"))
-
     def fold(self, bucket: int) -> Batch | None:
         return self.folds[self.fold_of[bucket]]
 
@@ -98,6 +96,7 @@ class GoldenTable:
         mode: str = ARRIVAL,
         delete_policy: str = "keep",
         buckets: int | None = None,
+        commits: Commits | None = None,
     ) -> None:
         if mode not in (ARRIVAL, EVENT_TIME):
             raise ValueError(f"mode must be {ARRIVAL!r} or {EVENT_TIME!r}, got {mode!r}")
@@ -105,6 +104,7 @@ class GoldenTable:
             raise ValueError(f"delete_policy must be one of {DELETE_POLICIES}, got {delete_policy!r}")
         self.spark = spark
         self.path = path.rstrip("/")
+        self.commits = commits or Commits(spark, f"{self.path}/position")
         self.keys = list(keys)
         self.mode = mode
         self.delete_policy = delete_policy
@@ -119,11 +119,11 @@ class GoldenTable:
     # --- manifest ---
 
     def manifest(self) -> Manifest:
-        text = read_state(self.spark, f"{self.path}/position")
-        return Manifest.from_text(text) if text else Manifest.new(self._first_buckets)
+        section = self.commits.get(SECTION)
+        return Manifest.from_section(section) if section else Manifest.new(self._first_buckets)
 
     def _move_to(self, manifest: Manifest) -> None:
-        write_state(self.spark, f"{self.path}/position", manifest.to_text())
+        self.commits.put({SECTION: asdict(manifest)})
 
     def last_batch(self) -> Batch | None:
         """Highest (run, batch) that was written completely."""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unirec.sinks.raw import batch_folder
+from unirec.sinks.commits import Commits
+from unirec.sinks.days import DayTable
 from unirec.sources.envelope import utc_now_text
 
 
@@ -49,30 +51,28 @@ def with_batch_metadata(batch: DataFrame, batch_id: int, batch_timestamp: str |
     return batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint")).withColumn("_batch_timestamp", stamp)
 
 
+def warehouse_table(spark: SparkSession, path: str, schema: T.StructType, commits: Commits | None = None) -> DayTable:
+    """Canonical rows of all batches with the time of their batch, in folders by ``_ingest_date``."""
+    stamp = T.StructField("_batch_timestamp", T.StringType())
+    return DayTable(spark, path, T.StructType([*schema.fields, stamp]), (), commits, "warehouse")
+
+
+def warehouse_rows(batch: DataFrame, batch_id: int, batch_timestamp: str | None = None, datetimes: Sequence[str] = ()) -> DataFrame:
+    return with_batch_metadata(coerce_datetimes(batch, datetimes), batch_id, batch_timestamp).drop("_batch_id")
+
+
 def append_batch(
     batch: DataFrame, path: str, batch_id: int, run: int = 0, batch_timestamp: str | None = None,
     datetimes: Sequence[str] = (),
 ) -> None:
-    """Append one batch as files; a replayed batch replaces its own folder."""
-    rows = with_batch_metadata(coerce_datetimes(batch, datetimes), batch_id, batch_timestamp).drop("_batch_id")
-    rows.write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+    """Append one batch as files; a replayed batch replaces its rows."""
+    rows = warehouse_rows(batch, batch_id, batch_timestamp, datetimes)
+    warehouse_table(batch.sparkSession, path, coerce_datetimes(batch, datetimes).schema).write_batch(rows, batch_id, run)
 
 
-def append_batch_jdbc(
-    batch: DataFrame, url: str, table: str, batch_id: int, datetimes: Sequence[str] = (), **properties: str,
-) -> None:
-    """Append one batch over JDBC from the executors.  A failed and repeated batch can leave rows twice;
-    readers keep the last ``_batch_timestamp`` of a ``_batch_id``."""
-    rows = with_batch_metadata(coerce_datetimes(batch, datetimes), batch_id)
-    rows.write.format("jdbc").mode("append").options(url=url, dbtable=table, **properties).save()
-
-
-def read_warehouse(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType([
-        *schema.fields, T.StructField("_batch_timestamp", T.StringType()),
-        T.StructField("_run", T.IntegerType()), T.StructField("_batch_id", T.LongType()),
-    ])
-    return spark.read.schema(full).parquet(path)
+def read_warehouse(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[date] | None = None) -> DataFrame:
+    """All rows of ``schema`` and their batch, or those of the named days."""
+    return warehouse_table(spark, path, schema).read(days)
 
 
 def create_or_append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:

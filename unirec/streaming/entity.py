@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import date
 from functools import cached_property, reduce
 from operator import or_
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from unirec.functions.shared import child_names, path_exists, write_text
 from unirec.operators.mapping import STRICT, apply_canonical_mapping, expand_canonical_fields
 from unirec.operators.upsert import ARRIVAL
 from unirec.sinks import raw, warehouse
+from unirec.sinks.commits import Commits
+from unirec.sinks.days import DayTable
 from unirec.sinks.golden import BATCH, RUN, GoldenTable
 from unirec.sources.envelope import LOG_SCHEMA, dead_letters, decode_events, is_dead_letter, live_events
 from unirec.spec import EntitySpec
@@ -66,22 +70,46 @@ class EntityStream:
         decoded = decode_events(log, keep_raw=True)
         return apply_canonical_mapping(decoded, self.spec, self.mapping_mode, self.sources).drop("canonical_payload")
 
-    def canonical_rows(self, mapped: DataFrame) -> DataFrame:
-        return expand_canonical_fields(live_events(mapped), self.spec, self.ingest_date)
+    def canonical_rows(self, mapped: DataFrame, day: date | None = None) -> DataFrame:
+        return expand_canonical_fields(live_events(mapped), self.spec, day or self.ingest_date)
 
-    def write_raw(self, decoded: DataFrame, batch_id: int) -> None:
+    def write_raw(self, decoded: DataFrame, batch_id: int, day: date) -> dict:
         live = live_events(decoded).select(*self.decoded_schema.names)
-        raw.write_raw_batch(live, self.folder("raw"), batch_id, self.run, self.ingest_date)
-        dead = raw.batch_folder(self.folder("dead_letters"), self.run, batch_id)
-        dead_letters(decoded).write.mode("overwrite").parquet(dead)
+        return self.raw_table.prepare_batch(raw.dated(live, day), batch_id, self.run)
 
-    def write_canonical(self, mapped: DataFrame, batch_id: int) -> None:
-        self.golden.write_batch(self.canonical_rows(mapped), batch_id, self.run)
+    def write_canonical(self, mapped: DataFrame, batch_id: int, day: date) -> dict:
+        return asdict(self.golden.prepare_batch(self.canonical_rows(mapped, day), batch_id, self.run))
 
-    def write_warehouse(self, mapped: DataFrame, batch_id: int) -> None:
-        warehouse.append_batch(
-            self.canonical_rows(mapped), self.folder("warehouse"), batch_id, self.run, self.batch_timestamp,
-            self.datetimes)
+    def write_warehouse(self, mapped: DataFrame, batch_id: int, day: date) -> dict:
+        rows = warehouse.warehouse_rows(self.canonical_rows(mapped, day), batch_id, self.batch_timestamp, self.datetimes)
+        return self.warehouse_table.prepare_batch(rows, batch_id, self.run)
+
+    def write_dead_letters(self, decoded: DataFrame, batch_id: int) -> None:
+        folder = raw.batch_folder(self.folder("dead_letters"), self.run, batch_id)
+        dead_letters(decoded).write.mode("overwrite").parquet(folder)
+
+    def write_batch(self, batch: DataFrame, batch_id: int, sinks: Sequence[str]) -> dict[str, int]:
+        """One batch into the sinks, and their record moved once: no reader sees it in some of them only.
+
+        A batch that fails in between has moved nothing; its rows are replaced when it is repeated.
+        """
+        counts = self.count_rows(batch, sinks)  # fills the cache, so no writer reads the source again
+        if not counts["input"]:
+            return counts
+        commits = self.commits("_".join(s for s in SINKS if s in sinks))
+        day = self.ingest_date or raw.today(self.spark)
+        days = {"raw": self.raw_table, "warehouse": self.warehouse_table}
+        days = {s: table for s, table in days.items() if s in sinks}
+        for table in days.values():
+            table.commits = commits
+        self.golden.commits = commits if "canonical" in sinks else self.golden.commits
+        commits.put({s: table.opened(batch_id, self.run, [day]) for s, table in days.items()})
+        if counts.get("dead_letters"):
+            self.write_dead_letters(batch, batch_id)
+        commits.put({s: getattr(self, f"write_{s}")(batch, batch_id, day) for s in SINKS if s in sinks})
+        for table in days.values():
+            table.clear()
+        return counts
 
     # --- counts ---
 
@@ -103,14 +131,15 @@ class EntityStream:
         return counts
 
     def write_counts(self, counts: dict[str, int], query: str, batch_id: int) -> None:
-        rows = self.spark.createDataFrame(list(counts.items()), "sink string, n_rows bigint")
-        folder = f"{self.folder('counts')}/query={query}"
-        rows.coalesce(1).write.mode("overwrite").parquet(raw.batch_folder(folder, self.run, batch_id))
+        """A small file for each batch, without a job; a repeated batch replaces its own."""
+        folder = raw.batch_folder(f"{self.folder('counts')}/query={query}", self.run, batch_id)
+        rows = "\n".join(json.dumps({"sink": sink, "n_rows": n}) for sink, n in counts.items())
+        write_text(self.spark, f"{folder}/counts.json", rows + "\n")
 
     def read_counts(self) -> DataFrame:
         """query, _run, _batch_id, sink, n_rows: every batch ever written, none lost to a bounded history."""
         schema = f"sink string, n_rows bigint, query string, {RUN} int, {BATCH} bigint"
-        return self.spark.read.schema(schema).parquet(self.folder("counts"))
+        return self.spark.read.schema(schema).json(self.folder("counts"))
 
     # --- tables ---
 
@@ -122,22 +151,49 @@ class EntityStream:
     def canonical_schema(self) -> T.StructType:
         return self.canonical_rows(self.mapped(self.spark.createDataFrame([], LOG_SCHEMA))).schema
 
+    def commits(self, name: str) -> Commits:
+        """The record of the sinks that one query writes."""
+        return Commits(self.spark, f"{self.root}/position/{self.spec.name}/{name}")
+
+    def commits_of(self, sink: str) -> Commits:
+        """The record that a sink obeys: that of the query that writes it."""
+        names = [n for n in child_names(self.spark, f"{self.root}/position/{self.spec.name}") if sink in n.split("_")]
+        if len(names) > 1:
+            raise ValueError(f"sink {sink!r} is written by several queries: {names}")
+        return self.commits(names[0] if names else sink)
+
     @cached_property
     def golden(self) -> GoldenTable:
         return GoldenTable(
             self.spark, self.folder("canonical"), self.canonical_schema, self.spec.keys(), self.mode,
-            self.delete_policy, self.buckets)
+            self.delete_policy, self.buckets, self.commits_of("canonical"))
+
+    @cached_property
+    def raw_table(self) -> DayTable:
+        return raw.raw_table(self.spark, self.folder("raw"), self.decoded_schema, self.commits_of("raw"))
+
+    @cached_property
+    def warehouse_table(self) -> DayTable:
+        empty = self.spark.createDataFrame([], self.canonical_schema)
+        schema = warehouse.coerce_datetimes(empty, self.datetimes).schema
+        return warehouse.warehouse_table(self.spark, self.folder("warehouse"), schema, self.commits_of("warehouse"))
 
-    def read_raw(self) -> DataFrame:
-        return raw.read_raw(self.spark, self.folder("raw"), self.decoded_schema)
+    def read_raw(self, days: Sequence[date] | None = None) -> DataFrame:
+        return self.raw_table.read(days)
 
     def read_canonical(self) -> DataFrame:
         return self.golden.read()
 
-    def read_warehouse(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], self.canonical_schema)
-        schema = warehouse.coerce_datetimes(empty, self.datetimes).schema
-        return warehouse.read_warehouse(self.spark, self.folder("warehouse"), schema)
+    def read_warehouse(self, days: Sequence[date] | None = None) -> DataFrame:
+        return self.warehouse_table.read(days)
+
+    def read_dead_letters(self) -> DataFrame:
+        """Rows of the log that could not be read, with their bytes."""
+        schema = dead_letters(decode_events(self.spark.createDataFrame([], LOG_SCHEMA), keep_raw=True)).schema
+        folder = self.folder("dead_letters")
+        if not path_exists(self.spark, folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
 
     # --- queries ---
 
@@ -150,7 +206,6 @@ class EntityStream:
         unknown = set(sinks) - set(SINKS)
         if unknown:
             raise ValueError(f"unknown sinks {sorted(unknown)}")
-        writers = [getattr(self, f"write_{s}") for s in SINKS if s in sinks]
         name = "_".join(s for s in SINKS if s in sinks)
         plan = decode_events(log, keep_raw=True) if set(sinks) == {"raw"} else self.mapped(log)
         if self.dedup_delay is not None:
@@ -160,10 +215,8 @@ class EntityStream:
         def run_batch(batch: DataFrame, batch_id: int) -> None:
             kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                counts = self.count_rows(kept, sinks)  # fills the cache, so no writer reads the source again
+                counts = self.write_batch(kept, batch_id, sinks)
                 if counts["input"]:
-                    for write in writers:
-                        write(kept, batch_id)
                     self.write_counts(counts, name, batch_id)
             finally:
                 kept.unpersist()
