@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from unirec.plans import (
-    coverage_queries, discovery_queries, event_queries, mapping_queries, merge_queries, scan_queries, sink_queries, stream_queries,
+    coverage_queries, discovery_queries, event_queries, mapping_queries, merge_queries, scan_queries, sink_queries, stream_queries, upkeep_queries,
 )
 
 MODULES = (
-    event_queries, mapping_queries, merge_queries, scan_queries, discovery_queries, sink_queries, stream_queries, coverage_queries,
+    event_queries, mapping_queries, merge_queries, scan_queries, discovery_queries, sink_queries, stream_queries, coverage_queries, upkeep_queries,
 )
 
 
