@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from unirec.functions.shared import stored
 from unirec.functions.values import WIDE_INTEGER, kind_of
 
 
@@ -58,7 +59,8 @@ def infer_json_columns(docs: DataFrame, column: str, group: Sequence[str] = ())
         F.sum("n").alias("n_values"),
         F.sum(F.when(F.col("type") == "null", F.col("n")).otherwise(0)).alias("n_nulls"),
     )
-    # A join brings the group's row count to its columns, so that no task needs all names of a group.
+    # A row per column and group: small, and kept, so that the documents are parsed once.
+    folded = stored(folded, "json-columns")
     mark = F.to_json(F.struct(*group), {"ignoreNullFields": "false"}) if group else F.lit("all")
     folded = folded.withColumn("_group", mark)
     totals = folded.filter(F.col("name").isNull()).select("_group", F.col("n_values").alias("row_count"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,15 +32,30 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+# Names of the zone in which local times are those of UTC.
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "Etc/GMT", "UCT", "Etc/UCT", "Zulu", "+00:00")
+
+
+def _session_is_utc() -> bool:
+    session = SparkSession.getActiveSession()
+    return session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES
+
+
 def iso_text(ts: Column) -> Column:
     """ISO-8601 in UTC with microseconds and offset, whatever the session's time zone is."""
-    micros = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1_000_000)).cast("string")
+    instant = ts.cast("timestamp")
+    if _session_is_utc():
+        return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    micros = F.pmod(F.unix_micros(instant), F.lit(1_000_000)).cast("string")
     plain = F.replace(F.substring(utc_clock(ts).cast("string"), 1, 19), F.lit(" "), F.lit("T"))
     return F.concat(plain, F.lit("."), F.lpad(micros, 6, "0"), F.lit("+00:00"))
 
 
 def utc_clock(ts: Column) -> Column:
-    """An instant as the local time that UTC clocks show, by counting from 1970; no time zone takes part."""
+    """An instant as the local time that UTC clocks show.  In a session of another zone by counting from 1970, because
+    its own local times name some instants twice."""
+    if _session_is_utc():
+        return ts.cast("timestamp").cast("timestamp_ntz")
     micros = F.unix_micros(ts.cast("timestamp"))
     seconds = F.expr("INTERVAL '1' SECOND") * F.floor(micros / 1_000_000).cast("long")
     rest = F.expr("INTERVAL '0.000001' SECOND") * F.pmod(micros, F.lit(1_000_000))
