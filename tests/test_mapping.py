@@ -1,6 +1,7 @@
 """Mapping rules as literal expected rows, on both routes."""
 
 import datetime as dt
+import decimal
 import json
 
 import pytest
@@ -218,3 +219,37 @@ def test_spec_round_trip():
     spec = EntitySpec.from_document("thing", json.dumps(doc))
     assert spec.keys() == ["thing_id"]
     assert EntitySpec.from_document("thing", spec.to_document()) == spec
+
+
+@pytest.mark.parametrize("mode", ["strict", "lenient"])
+def test_sized_decimals_are_exact_on_both_routes(spark, mode):
+    D = decimal.Decimal
+    spec = spec_of([("a", "decimal(18,2)"), ("b", "decimal(38,10)"), ("c", "decimal(5,1)")], [("A", "a"), ("B", "b"), ("C", "c", "CAST AS FLOAT")])
+    values = [
+        ("9007199254740993.01", "12345678901234567890.0123456789", "1.25"), ('"9007199254740993.01"', '"0.1"', '"1_0.5"'), ("0.005", "1e3", "true"),
+        ("12345678901234567.89", "7", "99999.9"), ('" 1.5 "', "null", "null"), ('"x"', '"1,000"', "0"), ("-1", "-0.00000000005", "-2")]
+    want = [
+        (D("9007199254740993.01"), D("12345678901234567890.0123456789"), D("1.3")), (D("9007199254740993.01"), D("0.1"), D("10.5")),
+        (D("0.01"), D(1000), D(1)), (None, D(7), None), (D("1.5"), None, None), (None, None, D(0)), (D(-1), D("-0.0000000001"), D(-2))]
+    for keys in (("A", "B", "C"), ("A", "b", "C"), ("A", "B", "c")):  # declared, and spelled in ways that take the general route
+        got = run(spark, spec, ["{" + ",".join(f'"{k}":{v}' for k, v in zip(keys, row)) + "}" for row in values], mode)
+        assert [tuple(r)[:3] for r in got] == want
+    if mode == "lenient":
+        assert [r["_errors"] for r in got] == [[], [], [], ["a", "c"], [], ["a", "b"], []]
+
+
+def test_sized_decimals_of_simple_fields_use_the_direct_route(spark):
+    spec = spec_of([("a", "decimal(18,2)")], [("A", "a")])
+    assert [tuple(r) for r in run(spark, spec, ['{"A": 1.005}', '{"a": "2.345"}', '{"A": true}', '{"A": {"x": 1}}'])] == [
+        (decimal.Decimal("1.01"),), (decimal.Decimal("2.35"),), (None,), (None,)]
+    assert spec_of([("a", "decimal")], [("A", "a")]).schema["a"].dataType.simpleString() == "string"
+    for bad in ("decimal(39,2)", "decimal(5,6)", "decimal(0,0)"):
+        with pytest.raises(ValueError):
+            CanonicalField("a", bad).spark_type
+
+
+def test_strict_refuses_text_after_the_value(spark):
+    spec = spec_of([("x", "integer"), ("n", "string")], [("id", "x"), ("n", "n")])
+    payloads = ['{"id": 1}', '{"id": 2} ', '{"id": 3} x', '{"id": 4}{"id": 5}', '{"id": 6},{"id": 7}', '{"id": 8}}', '{"id": 9, "n": {"a": {}}}\n', '{"id": 10, "n": "}"}']
+    assert [r["x"] for r in run(spark, spec, payloads)] == [1, 2, None, None, None, None, 9, 10]
+    assert [r["x"] for r in run(spark, spec, payloads, "lenient")] == [1, 2, 3, 4, 6, 8, 9, 10]

@@ -29,6 +29,10 @@ JSON_DOUBLE_WORDS = {
 WIDE_INTEGER = r"^DECIMAL\((19|2[0-9]|3[0-9]),0\)"
 
 
+# Text of a decimal number.
+DECIMAL_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def no_value(dtype: T.DataType) -> Column:
     return F.lit(None).cast(dtype)
 
@@ -55,9 +59,17 @@ def string_token(text: Column, dtype: T.DataType) -> Column:
         return json_double_word(text)
     if isinstance(dtype, (T.DateType, T.TimestampType)):
         return text.try_cast(dtype)
+    if isinstance(dtype, T.DecimalType):
+        return decimal_text(text, dtype)
     return no_value(dtype)
 
 
+def decimal_text(text: Column, dtype: T.DecimalType) -> Column:
+    """Exact, further digits rounded half up; null where the text is no number or does not fit.  Sources write decimals as
+    text, because a JSON number may lose digits on its way."""
+    return F.when(text.rlike(DECIMAL_TEXT), F.trim(text).try_cast(dtype))
+
+
 def lenient_text(text: Column, dtype: T.DataType) -> Column:
     """What any scalar's text becomes when strings may be converted; null when it cannot be."""
     if isinstance(dtype, T.LongType):
@@ -115,6 +127,8 @@ class JsonValue:
                 self.is_string, json_double_word(self.text))
         if isinstance(dtype, T.BooleanType):
             return F.when(self.is_boolean, self.get("boolean"))
+        if isinstance(dtype, T.DecimalType):
+            return F.when(self.is_number, self.get(dtype.simpleString())).when(self.is_string, decimal_text(self.text, dtype))
         if isinstance(dtype, T.TimestampType):
             return F.when(self.is_string, string_token(self.text, dtype)).when(
                 self.kind == "BIGINT", F.timestamp_seconds(self.get("bigint")))
@@ -145,6 +159,15 @@ class JsonValue:
         return value, self.text.isNotNull() & ~accepted
 
 
+    def cast_decimal(self, dtype: T.DecimalType) -> Column:
+        """What ``cast_float`` accepts, as an exact decimal."""
+        return (
+            F.when(self.is_number, self.get(dtype.simpleString()))
+            .when(self.is_boolean, self.get("boolean").cast("int").cast(dtype))
+            .when(self.is_string & self.text.rlike(FLOAT_TEXT), decimal_text(F.regexp_replace(self.text, "_", ""), dtype))
+        )
+
+
 def kind_of(value: Column) -> Column:
     return F.schema_of_variant(value)
 

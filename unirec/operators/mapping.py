@@ -126,7 +126,7 @@ def _group_conditions(groups: tuple[str, ...]) -> dict[str, Column]:
 
 def _direct_type(op: str, dtype: T.DataType, mode: str) -> T.DataType:
     """Read as the canonical type where no JSON kind is lost by it, else as text or variant."""
-    if op == "int":
+    if op == "int" or isinstance(dtype, T.DecimalType):
         return T.VariantType()
     return dtype if op == "identity" and mode == STRICT else T.StringType()
 
@@ -167,6 +167,8 @@ def _direct_value(raw: Column, op: str, dtype: T.DataType, mode: str) -> tuple[C
         return F.lower(raw), None
     if op == "int":
         return JsonValue(raw, kind_of(raw), F.try_variant_get(raw, "$", "string")).cast_int()
+    if isinstance(dtype, T.DecimalType):
+        return JsonValue(raw, kind_of(raw), F.try_variant_get(raw, "$", "string")).as_type(dtype), None
     if op == "float":
         return raw.try_cast("double"), raw.isNotNull() & ~raw.rlike(PLAIN_DECIMAL)
     return (raw if mode == STRICT else lenient_text(raw, dtype)), None
@@ -185,6 +187,14 @@ def _only_this_form(keys: Column, form: list[str], rule: SourceRule) -> Column:
     return F.when(F.size(rest) == 0, True).otherwise(~stray)
 
 
+def _one_json_value(payload: Column) -> Column:
+    """False where text follows the JSON value.  An object with one closing brace, its last character, needs no second look;
+    any other payload is read as the only element of an array."""
+    plain = payload.endswith("}") & (F.length(payload) - F.length(F.replace(payload, F.lit("}"), F.lit(""))) == 1)
+    alone = F.coalesce(F.json_array_length(F.concat(F.lit("["), payload, F.lit("]"))) == 1, F.lit(False))
+    return F.when(plain, True).otherwise(alone)
+
+
 # --- general route ----------------------------------------------------------------------------
 
 
@@ -196,17 +206,20 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _general_value(op: str, v: JsonValue, dtype: T.DataType, mode: str) -> Column:
     """One JSON value after its transform, in a field of ``dtype``."""
     lenient = mode == LENIENT
-    as_is = lenient_text(v.text, dtype) if lenient else v.as_type(dtype)
+    exact = isinstance(dtype, T.DecimalType)
+    as_is = lenient_text(v.text, dtype) if lenient and not exact else v.as_type(dtype)
     if op in ("upper", "lower"):
         changed = F.upper(v.text) if op == "upper" else F.lower(v.text)
-        converted = lenient_text(changed, dtype) if lenient else string_token(changed, dtype)
+        converted = lenient_text(changed, dtype) if lenient and not exact else string_token(changed, dtype)
         return F.when(v.truthy, converted).otherwise(as_is)
     if op == "int":
         number = v.cast_int()[0]
         if isinstance(dtype, T.TimestampType):
             return F.timestamp_seconds(number)
-        fits = (T.LongType, T.DoubleType, T.StringType)
-        return number.cast(dtype) if isinstance(dtype, fits) else no_value(dtype)
+        fits = (T.LongType, T.DoubleType, T.StringType, T.DecimalType)
+        return number.try_cast(dtype) if isinstance(dtype, fits) else no_value(dtype)
+    if op == "float" and exact:
+        return v.cast_decimal(dtype)
     if op == "float":
         number = v.cast_float()[0]
         return number.cast(dtype) if isinstance(dtype, (T.DoubleType, T.StringType)) else no_value(dtype)
@@ -363,7 +376,8 @@ def _compile(spec: EntitySpec, mode: str, groups: tuple[str, ...]) -> tuple[list
             op = rule.direct[name][1]
             value, doubtful = _direct_value(raw, op, types[name], mode)
             values[name].append(value)
-            texts[name].append(F.try_variant_get(raw, "$", "string") if op == "int" else raw.cast("string"))
+            is_variant = isinstance(_direct_type(op, types[name], mode), T.VariantType)
+            texts[name].append(F.try_variant_get(raw, "$", "string") if is_variant else raw.cast("string"))
             if doubtful is not None:
                 ok = ok & ~doubtful
         settled = F.when(conditions[rule.group], F.coalesce(ok, F.lit(False))).otherwise(settled)
@@ -387,6 +401,8 @@ def _compile(spec: EntitySpec, mode: str, groups: tuple[str, ...]) -> tuple[list
     # The general route is evaluated only where the direct one may not be used.
     general = _general(rules, targets, conditions, mode)
     no_payload = F.col("payload").isNull() | (F.col("payload") == "")
+    if mode == STRICT:
+        no_payload |= ~_one_json_value(F.col("payload"))
     record = F.when(~no_payload, F.when(settled, answer).otherwise(general))
     return parses, F.coalesce(record, F.struct(*empty))
 

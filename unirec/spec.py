@@ -8,6 +8,7 @@ compile it to Spark expressions once, when the plan is built.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import types as T
@@ -35,7 +36,17 @@ SOURCE_MAPPINGS = {"postgres": "pg_mappings", "sqlserver": "sql_mappings"}
 OTHER_MAPPINGS = "td_mappings"
 
 
+# Opt-in beside the names above: exact decimals of a given size.
+DECIMAL_TYPE = re.compile(r"decimal\(\s*(\d+)\s*,\s*(\d+)\s*\)")
+
+
 def resolve_type(declared: str | None) -> T.DataType:
+    sized = DECIMAL_TYPE.fullmatch(declared or "")
+    if sized:
+        precision, scale = map(int, sized.groups())
+        if not 1 <= precision <= 38 or scale > precision:
+            raise ValueError(f"{declared}: a decimal has 1 to 38 digits, of which the scale is a part")
+        return T.DecimalType(precision, scale)
     return TYPE_MAP.get(declared or "string", T.StringType())
 
 
