@@ -185,6 +185,20 @@ def test_mapping_proposals(spark):
                    "CustomerBalance": ("customer_balance", 1)}
 
 
+def test_names_without_a_signature_are_matched_one_to_one(spark):
+    columns = spark.createDataFrame(
+        [("customer", "s", "t", n, k) for n, k in (
+            ("segment", "string"), ("telefoon", "string"), ("telefone", "string"), ("zip_kode", "integer"), ("created_ts", "string"), ("xx", "string"))],
+        "canonical_name string, source string, table string, name string, data_type string")
+    fields = spark.createDataFrame(
+        [("customer", n, k) for n, k in (
+            ("segment", "string"), ("telephone", "string"), ("zip_code", "boolean"), ("updated_at", "timestamp"), ("zip_area", "integer"), ("queue", "string"))],
+        "canonical_name string, canonical_field string, data_type string")
+    got = {r["source_field"]: (r["canonical_field"], r["rule"]) for r in propose_mappings(columns, fields).collect()}
+    # zip_kode is nearer to zip_code, whose type is of another family; the less similar telefoon finds its field taken.
+    assert got == {"segment": ("segment", 1), "telefone": ("telephone", 6), "created_ts": ("updated_at", 6), "zip_kode": ("zip_area", 6)}
+
+
 def test_datetime_columns_as_a_whole(spark):
     df = spark.createDataFrame([("2024-01-01", "2024-01-01", None, 1), (None, "x", None, 2)], "a string, b string, c string, d int")
     assert datetime_columns(df) == ["a"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from unirec.functions.names import entity_name, skeleton, snake
@@ -14,6 +14,10 @@ MATCH_COLUMNS = {
 }
 
 
+# The least similarity at which two names that share no signature are proposed.
+LEAST_SIMILARITY = 0.4
+
+
 def match_scores(catalog: DataFrame) -> DataFrame:
     """Per table: its canonical name, and how much of its columns other sources share (Jaccard)."""
     columns = catalog.select(
@@ -62,9 +66,9 @@ def matched_columns(matches: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def canonical_fields(specs: list[EntitySpec], like: DataFrame) -> DataFrame:
-    """The fields of specs as rows: canonical_name, canonical_field."""
-    rows = [(s.name, f.name) for s in specs for f in s.fields]
-    return like.sparkSession.createDataFrame(rows, "canonical_name string, canonical_field string")
+    """The fields of specs as rows: canonical_name, canonical_field, data_type."""
+    rows = [(s.name, f.name, f.data_type) for s in specs for f in s.fields]
+    return like.sparkSession.createDataFrame(rows, "canonical_name string, canonical_field string, data_type string")
 
 
 def propose_fields(columns: DataFrame) -> DataFrame:
@@ -85,7 +89,8 @@ def propose_fields(columns: DataFrame) -> DataFrame:
 
 
 def propose_mappings(columns: DataFrame, fields: DataFrame) -> DataFrame:
-    """Source column -> canonical field, by equality of name signatures; the strongest rule wins.
+    """Source column -> canonical field, by equality of name signatures; the strongest rule wins.  What no signature
+    brings together is matched by ``reciprocal_matches`` (rule 6).
 
     Rules, strongest first: the name itself; ``id`` for ``<entity>_id``; the name with a leading
     abbreviation of the entity written out; the name without the entity; the consonant skeleton of the
@@ -120,5 +125,45 @@ def propose_mappings(columns: DataFrame, fields: DataFrame) -> DataFrame:
     ).select("canonical_name", "canonical_field", "_s.rule", "_s.sig").filter(F.coalesce(F.col("sig"), F.lit("")) != "")
     hits = left.join(right, ["canonical_name", "rule", "sig"])
     best = Window.partitionBy("canonical_name", "source", "table", "source_field").orderBy("rule", "canonical_field")
-    return hits.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").select(
-        "canonical_name", "source", "table", "source_field", "canonical_field", "rule")
+    chosen = ["canonical_name", "source", "table", "source_field", "canonical_field", "rule"]
+    named = hits.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").select(*chosen)
+    return named.unionByName(reciprocal_matches(columns, fields, named).select(*chosen))
+
+
+def type_family(data_type: Column) -> Column:
+    """Types that a mapping may lead between; text may hold anything, so it has none."""
+    return (
+        F.when(data_type.isin("integer", "float") | data_type.startswith("decimal"), "number")
+        .when(data_type.isin("date", "timestamp"), "time").when(data_type == "boolean", "boolean")
+    )
+
+
+def reciprocal_matches(columns: DataFrame, fields: DataFrame, named: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """Source columns and canonical fields of one table that ``named`` leaves free, matched one to one: each is the
+    other's most similar by edit distance (1 - distance / longer length, at least ``least``).
+
+    Only names of one entity meet, and only where their lengths alone allow the similarity.  Types of different families
+    never match; of equal similarities the one with the same type goes first, then the name that sorts first.
+    """
+    place = ["canonical_name", "source", "table"]
+
+    def kind(df: DataFrame) -> Column:
+        return F.col("data_type") if "data_type" in df.columns else F.lit(None).cast("string")
+
+    free = columns.select(*place, F.col("name").alias("source_field"), kind(columns).alias("_kind")).join(
+        named.select(*place, "source_field"), [*place, "source_field"], "left_anti")
+    open_ = columns.select(*place).distinct().join(
+        fields.select("canonical_name", "canonical_field", kind(fields).alias("_to_kind")), "canonical_name").join(
+        named.select(*place, "canonical_field"), [*place, "canonical_field"], "left_anti")
+    one, other = snake(F.col("source_field")), F.col("canonical_field")
+    shorter, longer = F.least(F.length("_name"), F.length(other)), F.greatest(F.length("_name"), F.length(other))
+    pairs = free.withColumn("_name", one).join(open_, place).filter(shorter >= longer * least)
+    a, b = type_family(F.col("_kind")), type_family(F.col("_to_kind"))
+    pairs = pairs.filter(a.isNull() | b.isNull() | (a == b))
+    alike = pairs.withColumn("_alike", 1 - F.levenshtein("_name", other) / longer).filter(F.col("_alike") >= least)
+    same = F.coalesce(F.col("_kind") == F.col("_to_kind"), F.lit(False))
+    order = [F.desc("_alike"), same.desc()]
+    for_source = Window.partitionBy(*place, "source_field").orderBy(*order, "canonical_field")
+    for_field = Window.partitionBy(*place, "canonical_field").orderBy(*order, "source_field")
+    ranked = alike.withColumns({"_first": F.row_number().over(for_source), "_second": F.row_number().over(for_field)})
+    return ranked.filter("_first = 1 AND _second = 1").select(*place, "source_field", "canonical_field", F.lit(6).alias("rule"))

@@ -152,13 +152,13 @@ SELECT canonical_name, canonical_field,
   count(*) AS n_columns
 FROM fields GROUP BY canonical_name, canonical_field
 """
-# What the name rules must find: every column but those whose name shares nothing with a field.
+# What the name rules must find; two names share no signature with a field and are matched by edit distance.
 MAPPINGS_SQL = MATCH_SQL + f"""
 SELECT canonical_name, source, "table", name AS source_field,
   CASE WHEN lower(name) = 'id' OR name = 'cust_id' THEN canonical_name || '_id'
-       WHEN name = 'cust_nm' THEN 'name' ELSE {SNAKED} END AS canonical_field
+       WHEN name IN ('cust_nm', 'FullName') THEN 'name' WHEN name = 'created_ts' THEN 'updated_at' ELSE {SNAKED} END AS canonical_field
 FROM catalog JOIN named USING (source, "table")
-WHERE canonical_name <> 'event' AND name NOT IN ('FullName', 'created_ts')
+WHERE canonical_name <> 'event'
 """
 
 

@@ -287,7 +287,28 @@ SELECT event_id AS i, CAST(NULL AS BIGINT) AS i_text, value AS f, CAST(NULL AS D
 FROM events
 """
 
+def map_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of 18 digits as JSON numbers and as text, in both modes: totals that doubles would miss."""
+    orders = table(spark, sf_dir, "orders")
+    cents = F.lpad(F.pmod("o_custkey", F.lit(100)).cast("string"), 2, "0")
+    amount = F.concat(F.lit("90071992"), F.lpad(F.pmod("o_orderkey", F.lit(100_000_000)).cast("string"), 8, "0"), F.lit("."), cents)
+    shape = F.when(F.col("o_orderstatus") == "F", amount).otherwise(quoted(amount))
+    spec = rule_spec([("id", "integer"), ("amount", "decimal(18,2)"), ("rounded", "decimal(17,1)")], [
+        ("id", "id", None), ("a", "amount", None), ("r", "rounded", "CAST AS FLOAT")])
+    payload = json_object(("id", F.col("o_orderkey").cast("string")), (F.when(F.col("o_orderstatus") == "O", "A").otherwise("a"), shape), ("r", amount))
+    totals = [F.sum(c).cast("string").alias(c) for c in ("amount", "rounded")]
+    strict, lenient = (map_rows(orders, payload, spec, mode).agg(F.count("amount").alias("n"), *totals) for mode in ("strict", "lenient"))
+    return strict.withColumn("mode", F.lit("strict")).unionByName(lenient.withColumn("mode", F.lit("lenient")))
+
+
+DECIMAL_SQL = """
+WITH a AS (SELECT CAST('90071992' || lpad(CAST(o_orderkey % 100000000 AS VARCHAR), 8, '0') || '.' || lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0')
+    AS DECIMAL(18, 2)) AS amount FROM orders)
+SELECT mode, count(*) AS n, CAST(sum(amount) AS VARCHAR) AS amount, CAST(sum(CAST(round(amount, 1) AS DECIMAL(17, 1))) AS VARCHAR) AS rounded
+FROM a, (VALUES ('strict'), ('lenient')) m(mode) GROUP BY mode"""
+
 QUERIES = {
+    "map_decimal": map_decimal,
     "canonical_customer": canonical_customer,
     "canonical_order": canonical_order,
     "canonical_product": canonical_product,
@@ -304,6 +325,7 @@ QUERIES = {
     "typed_expand": typed_expand,
 }
 ORACLES = {
+    "map_decimal": DECIMAL_SQL,
     "canonical_customer": f"WITH {CUSTOMER_ROWS} {canonical('customer_rows')}",
     "canonical_order": f"WITH {ORDER_ROWS} {canonical('order_rows')}",
     "canonical_product": PRODUCT_SQL,
