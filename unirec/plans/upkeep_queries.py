@@ -1,4 +1,5 @@
-"""Queries of what keeps the tables in order: bucket versions, field states, day folders, one commit for several sinks."""
+"""Queries of what keeps the tables in order: bucket versions, field states, day folders, one commit for several sinks, chunked
+backfill and range digests."""
 
 from __future__ import annotations
 
@@ -8,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import new_folder
+from unirec.operators.ranges import SnapshotStore
 from unirec.operators.survivorship import Survivorship, provenance
-from unirec.plans.derived import CUSTOMER, INGEST_DATE, as_log, source_events, table
+from unirec.operators.upsert import upsert
+from unirec.plans.derived import CUSTOMER, INGEST_DATE, as_log, source_events, source_rows, table
 from unirec.plans.merge_queries import customer_batch
 from unirec.plans.sql import CUSTOMER_ROWS
 from unirec.plans.stream_queries import ALL_NOW, BATCH_STAMP, write_log
 from unirec.sinks.golden import GoldenTable, SurvivorshipTable
 from unirec.sinks.raw import dated, raw_table
-from unirec.sources.envelope import decode_events
-from unirec.sources.topics import file_log_stream
+from unirec.sources.envelope import decode_events, encode_events
+from unirec.sources.topics import file_log, file_log_stream, publish_to_file_log
+from unirec.streaming.backfill import backfill_chunks
 from unirec.streaming.entity import SINKS, EntityStream
 
 # --- bucket versions ----------------------------------------------------------------------------
@@ -192,7 +196,64 @@ ATOMIC_SQL = """
 SELECT moment, sink, CAST(CASE WHEN sink = 'canonical' THEN n WHEN moment = 'failed' THEN 2 * n ELSE 3 * n END AS BIGINT) AS n_rows
 FROM (SELECT count(*) AS n FROM customer), (VALUES ('failed'), ('repeated')) m(moment), (VALUES ('raw'), ('canonical'), ('warehouse')) s(sink)"""
 
+# --- chunked backfill ---------------------------------------------------------------------------
+
+LIVE_NATION = 3
+
+
+def backfill_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is published by key ranges while one nation's customers change; the run breaks off and goes on.  The
+    last event of a key in the log is its newest, though some chunks were read before the change."""
+    folder = new_folder(spark, "chunks")
+    log, changed = f"{folder}/log", []
+    rows = source_rows(spark, sf_dir, "customer", "postgres")
+    live = rows.withColumn("segment", F.when(F.col("nation_id") == LIVE_NATION, "live").otherwise(F.col("segment")))
+
+    def poll(chunk: int) -> None:
+        if chunk == 1 and not changed:
+            changed.append(chunk)
+            publish_to_file_log(encode_events(live.filter(F.col("nation_id") == LIVE_NATION), "postgres", "customer", "UPDATE", key=F.col("id")), log)
+
+    for most in (3, None):
+        backfill_chunks(lambda: live if changed else rows, "postgres", "customer", "id", log, f"{folder}/chunk", 6, poll, most)
+    payload = F.col("payload")
+    events = decode_events(file_log(spark, log, ["customer"])).select(
+        F.get_json_object(payload, "$.id").cast("bigint").alias("id"), F.get_json_object(payload, "$.segment").alias("segment"), "kafka_offset")
+    return upsert(None, events, ["id"], order=[F.col("kafka_offset")]).drop("kafka_offset")
+
+
+CHUNKS_SQL = f"""
+SELECT c_custkey AS id, CASE WHEN c_nationkey = {LIVE_NATION} THEN 'live' ELSE c_mktsegment END AS segment FROM customer"""
+
+# --- range digests ------------------------------------------------------------------------------
+
+
+def snapshot_diff_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored snapshots of the orders: the newest keys are new, the oldest gone, a few in between changed."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    ends = orders.agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).first()
+    width = max(1, (ends["high"] - ends["low"]) // 100)
+    old = orders.filter(F.col("o_orderkey") <= ends["high"] - width)
+    middle = (ends["low"] + ends["high"]) // 2
+    moved = F.col("o_orderkey").between(middle, middle + width)
+    new = orders.filter(F.col("o_orderkey") >= ends["low"] + width).withColumn(
+        "o_totalprice", F.when(moved, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    store = SnapshotStore(spark, new_folder(spark, "snapshots"), orders.schema, ["o_orderkey"], ranges=32)
+    store.write(old, "1")
+    store.write(new, "2")
+    return store.diff("1", "2").select("event_type", "o_orderkey", "o_totalprice", F.col("before.o_totalprice").alias("before_price"))
+
+
+RANGES_SQL = """
+WITH e AS (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high, greatest(1, (max(o_orderkey) - min(o_orderkey)) // 100) AS w,
+    (min(o_orderkey) + max(o_orderkey)) // 2 AS mid FROM orders)
+SELECT 'INSERT' AS event_type, o_orderkey, o_totalprice, CAST(NULL AS DOUBLE) AS before_price FROM orders, e WHERE o_orderkey > high - w
+UNION ALL SELECT 'DELETE', o_orderkey, o_totalprice, o_totalprice FROM orders, e WHERE o_orderkey < low + w
+UNION ALL SELECT 'UPDATE', o_orderkey, o_totalprice + 1, o_totalprice FROM orders, e WHERE o_orderkey BETWEEN mid AND mid + w"""
+
 QUERIES = {
+    "backfill_chunks": backfill_in_chunks,
+    "snapshot_diff_ranges": snapshot_diff_ranges,
     "golden_bucket_compaction": golden_bucket_compaction,
     "upsert_survivorship": upsert_survivorship,
     "survivorship_provenance": survivorship_provenance,
@@ -200,6 +261,8 @@ QUERIES = {
     "fan_out_atomic": fan_out_atomic,
 }
 ORACLES = {
+    "backfill_chunks": CHUNKS_SQL,
+    "snapshot_diff_ranges": RANGES_SQL,
     "golden_bucket_compaction": GOLDEN_SQL,
     "upsert_survivorship": SURVIVOR_SQL,
     "survivorship_provenance": PROVENANCE_SQL,

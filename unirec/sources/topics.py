@@ -85,7 +85,7 @@ def publish_to_file_log(
     over the partitions.
     """
     spark = events.sparkSession
-    base = _next_offset(spark, path)
+    base = next_offset(spark, path)
     write_state(spark, f"{path}/{NEXT_OFFSET}", json.dumps({"next": base, "open": True}))
     number = F.monotonically_increasing_id()
     rows = serialise(events, prefix).withColumn("offset", number + F.lit(base).cast("long"))
@@ -101,7 +101,8 @@ def publish_to_file_log(
     write_state(spark, f"{path}/{NEXT_OFFSET}", json.dumps({"next": base if last is None else last + 1, "open": False}))
 
 
-def _next_offset(spark: SparkSession, path: str) -> int:
+def next_offset(spark: SparkSession, path: str) -> int:
+    """The offset that the next event will have at least: a mark of the log."""
     text = read_state(spark, f"{path}/{NEXT_OFFSET}")
     known = json.loads(text) if text else None
     if known and not known["open"]:

@@ -1,16 +1,19 @@
-"""Filling the log: first the whole source, then what lies above its watermark."""
+"""Filling the log: first the whole source, at once or by key ranges, then what lies above its watermark."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from unirec.functions.shared import read_state, stored, write_state
 from unirec.operators.diff import snapshot_diff
+from unirec.operators.ranges import in_range, key_bounds
 from unirec.sources.envelope import encode_events, json_ready
 from unirec.sources.scan import highest_timestamp, incremental_scan
-from unirec.sources.topics import publish_to_file_log
+from unirec.sources.topics import file_log, next_offset, publish_to_file_log
 from unirec.sources.watermarks import advance_watermark, current_watermark
 
 
@@ -37,6 +40,44 @@ def publish_increment(
     return read.get["n"]
 
 
+def backfill_chunks(
+    read: Callable[[], DataFrame], source: str, entity: str, key: str, log_path: str, state_path: str, chunks: int = 16,
+    between: Callable[[int], None] | None = None, most: int | None = None, **envelope: object,
+) -> int:
+    """Publish a source table as SNAPSHOT events by ranges of its key, while its changes are published too.
+
+    A chunk is read between two marks of the log.  Keys whose changes came into the log between the marks are left out of the
+    chunk, whose rows may be older; so the last event of a key in the log is its newest, whatever a row's own time says.
+    ``between`` is called after a chunk was read and before its second mark: there the one loop that publishes polls for
+    changes.  After every chunk its number is stored, and a run that broke off goes on at its chunk; ``most`` ends a run
+    after so many.  Returns the number of chunks that are left.
+    """
+    table = read()
+    spark, dtype = table.sparkSession, table.schema[key].dataType
+    text = read_state(spark, state_path)
+    state = json.loads(text) if text else {"bounds": key_bounds(table, key, chunks), "next": 0}
+    if not text:
+        write_state(spark, state_path, json.dumps(state))
+    count = len(state["bounds"]) + 1
+    last = count if most is None else min(count, state["next"] + most)
+    for number in range(state["next"], last):
+        low = next_offset(spark, log_path)
+        rows = read().filter(in_range(F.col(key), dtype, state["bounds"], number))
+        chunk = stored(encode_events(rows, source, entity, "SNAPSHOT", key=F.col(key), **envelope), "chunk")
+        if between:
+            between(number)
+        if next_offset(spark, log_path) > low:
+            body = F.col("value").cast("string")
+            changed = file_log(spark, log_path, [entity]).filter(
+                (F.col("offset") >= low) & (F.get_json_object(body, "$.source") == source) & (F.get_json_object(body, "$.event_type") != "SNAPSHOT"))
+            keys = changed.select(F.col("key").cast("string").alias("key")).distinct()
+            chunk = chunk.join(keys, "key", "left_anti").select(*chunk.columns)
+        publish_to_file_log(chunk, log_path)
+        state["next"] = number + 1
+        write_state(spark, state_path, json.dumps(state))
+    return count - state["next"]
+
+
 def diff_events(
     old: DataFrame, new: DataFrame, keys: Sequence[str], source: str, entity: str, version: str,
     event_time: Column | None = None, **envelope: object,
