@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import stored
 from unirec.operators.counts import catalog_summary
+from unirec.operators.keys import discover_merge_keys
 from unirec.operators.match import (
     active_sources, canonical_fields, match_entities, matched_columns, propose_fields, propose_mappings,
 )
@@ -176,6 +179,30 @@ def merge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_line.unionByName(by_customer).unionByName(turns)
 
 
+KEY_COLUMNS = {
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"],
+}
+
+
+def discover_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All minimal keys of up to three columns."""
+    found = [discover_merge_keys(spread(table(spark, sf_dir, t)), columns).withColumn("table", F.lit(t)) for t, columns in KEY_COLUMNS.items()]
+    return found[0].unionByName(found[1])
+
+
+def _all_keys_sql() -> str:
+    """Every set of up to three columns, counted exactly; a set that holds another key is not minimal."""
+    sets = [
+        f"""SELECT '{t}' AS "table", '{'+'.join(s)}' AS candidate, [{', '.join(f"'{c}'" for c in s)}] AS names, {len(s)} AS n_columns,
+  (SELECT count(*) FROM {t}) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(s)} FROM {t})) AS n_distinct"""
+        for t, columns in KEY_COLUMNS.items() for size in (1, 2, 3) for s in combinations(columns, size)]
+    return f"""
+WITH sets AS ({' UNION ALL '.join(sets)}), keys AS (SELECT * FROM sets WHERE n_rows = n_distinct)
+SELECT "table", candidate, CAST(n_columns AS INTEGER) AS n_columns, n_rows FROM keys k
+WHERE NOT EXISTS (SELECT 1 FROM keys o WHERE o."table" = k."table" AND o.n_columns < k.n_columns AND list_has_all(k.names, o.names))"""
+
+
 def _key_sql(name: str, table_name: str, columns: str, rows: str | None = None) -> str:
     nulls = " OR ".join(f"{c} IS NULL" for c in columns.split(", "))
     return f"""
@@ -210,6 +237,7 @@ QUERIES = {
     "propose_fields": fields_proposed,
     "propose_mappings": mappings_proposed,
     "merge_key_candidates": merge_keys,
+    "discover_merge_keys": discover_keys,
 }
 ORACLES = {
     "column_catalog": f"""
@@ -234,4 +262,5 @@ FROM named GROUP BY canonical_name""",
     "propose_fields": FIELDS_SQL,
     "propose_mappings": MAPPINGS_SQL,
     "merge_key_candidates": KEYS_SQL,
+    "discover_merge_keys": _all_keys_sql(),
 }

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 import re
-from dataclasses import asdict, dataclass, field
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -123,6 +124,11 @@ class EntitySpec:
             raise ValueError(f"{self.name}: no merge keys declared and none can be derived")
         return [default]
 
+    def with_merge_keys(self, columns: Sequence[str], group: str | None = None) -> EntitySpec:
+        """The spec with the keys that a profile found: canonical fields, or columns of the sources of a mapping list."""
+        named = {m.source_field.lower(): m.canonical_field for m in self.mappings(group)} if group else {}
+        return replace(self, merge_keys=tuple(named.get(c.lower(), c) for c in columns))
+
     @classmethod
     def from_document(cls, name: str, doc: dict | str) -> EntitySpec:
         """Build a spec from its JSON form (canonical_schema, three mapping lists, merge_keys)."""
