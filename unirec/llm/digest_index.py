@@ -16,24 +16,36 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unirec.functions.shared import new_folder, stored
+from unirec.functions.shared import child_names, new_folder, read_state, stored, write_state
 from unirec.llm.text import lower_ascii
 
 
+COUNT = "_buckets"
+
+
 def digest(text: Column) -> Column:
     """SHA-256 of the lower-cased (A-Z) UTF-8 text, as bytes."""
     return F.unhex(F.sha2(lower_ascii(F.coalesce(text, F.lit(""))).cast("binary"), 256))
 
 
 class DigestIndex:
-    """``digest -> keep_id`` in a bucketed table at ``path``; the bucket count is fixed when it is created."""
+    """``digest -> keep_id`` in a bucketed table at ``path``.
+
+    The bucket count is fixed when the index is created and kept with its files; whoever opens it later, in whatever
+    session, gets that count.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int):
-        self.spark, self.path, self.buckets = spark, path, buckets
+        known = read_state(spark, f"{path}/{COUNT}")
+        if known is None:
+            if any(n.endswith(".parquet") for n in child_names(spark, path)):
+                raise ValueError(f"{path} holds files but no bucket count")
+            write_state(spark, f"{path}/{COUNT}", str(buckets))
+        self.spark, self.path, self.buckets = spark, path, int(known or buckets)
         self.name = "digest_index_" + hashlib.sha256(path.encode()).hexdigest()[:24]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
 
     def read(self) -> DataFrame:

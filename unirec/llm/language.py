@@ -28,11 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from unirec.llm.slices import by_bytes
 from unirec.llm.text import id_remainder
+from unirec.llm.worker_memory import claim, give_back, remember
 
 PIECE = 24
-ROWS = 5000  # documents of a batch that are worked on at a time
-MEMO_PIECES = 400_000
+SLICE_BYTES = 2 << 20  # of texts that are worked on at a time
+MEMO_PIECES = 200_000
 MAX_BYTES = 50_000  # of a text to learn from
 # Bytes as they are, but a space for what is neither an ASCII letter nor part of a character beyond ASCII.
 SPACED = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
@@ -138,7 +140,7 @@ class ByteNet:
         """Cross-entropy at every position, by backpropagation through time and Adam."""
         rng = np.random.default_rng(11)
         size = np.array([len(w) for w in words])
-        padded = np.full((PIECE, len(words)), 256, np.int64)
+        padded = np.full((PIECE, len(words)), 256, np.int16)
         for i, w in enumerate(words):
             padded[:len(w), i] = np.frombuffer(w, np.uint8)
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self.weights()]
@@ -146,7 +148,7 @@ class ByteNet:
         half = self.parts[0].hidden.shape[0]
         for step, pick in enumerate(picks, 1):
             n = size[pick]
-            codes = padded[:n.max(), pick]
+            codes = padded[:n.max(), pick].astype(np.int64)
             live = np.arange(len(codes))[:, None] < n
             ahead, trace1 = self.parts[0].run(codes, live, keep=True)
             behind, trace2 = self.parts[1].run(codes[::-1], live[::-1], keep=True)
@@ -187,26 +189,42 @@ def pieces_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.Array.from_buffers(pa.large_binary(), len(which), [None, pa.py_buffer(bounds), words.buffers()[2]]), owner[which]
 
 
+class Memory:
+    """The sums of the pieces that a network has read: a row number for each piece, and one matrix that grows."""
+
+    def __init__(self, languages: int):
+        self.rows: dict[bytes, int] = {}
+        self.sums = np.zeros((1024, languages), np.float32)
+
+    def add(self, pieces: list[bytes], sums: np.ndarray) -> None:
+        """The pieces that came first stay; beyond ``MEMO_PIECES`` none is added."""
+        begin, n = len(self.rows), min(len(pieces), MEMO_PIECES - len(self.rows))
+        if begin + n > len(self.sums):
+            self.sums = np.concatenate([self.sums, np.zeros((max(len(self.sums), begin + n - len(self.sums)), self.sums.shape[1]), np.float32)])
+        self.sums[begin:begin + n] = sums[:n]
+        self.rows.update(zip(pieces[:n], range(begin, begin + n)))
+
+
 @lru_cache(maxsize=1)
-def memory(key: str) -> dict[bytes, np.ndarray]:
-    """Per Python worker: the sums of pieces that a network has read."""
-    return {}
+def memory(key: str, languages: int) -> Memory:
+    """One for each Python worker and network."""
+    remember("language", memory.cache_clear)
+    return Memory(languages)
 
 
 def known_sums(net: ByteNet, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Sums of log-probabilities and sizes of the distinct pieces; only pieces not met before are read."""
-    known, pieces = memory(net.key()), distinct.to_pylist()
+    known, pieces = memory(net.key(), len(net.languages)), distinct.to_pylist()
     size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    rows = [known.get(p) for p in pieces]
-    new = [i for i, r in enumerate(rows) if r is None]
-    if new:
-        data = np.frombuffer(b"".join(pieces[i] for i in new), np.uint8)
-        read = net.word_sums(data, np.cumsum(size[new]) - size[new], size[new])
-        for i, r in zip(new, read):
-            rows[i] = r
-        if len(known) < MEMO_PIECES:
-            known.update((pieces[i], rows[i].copy()) for i in new[:MEMO_PIECES])
-    return np.array(rows, np.float32).reshape(len(rows), len(net.languages)), size
+    rows = np.fromiter((known.rows.get(p, -1) for p in pieces), np.int64, len(pieces))
+    new = np.flatnonzero(rows < 0)
+    out = known.sums[rows]
+    if len(new):
+        fresh = [pieces[i] for i in new.tolist()]
+        data = np.frombuffer(b"".join(fresh), np.uint8)
+        out[new] = net.word_sums(data, np.cumsum(size[new]) - size[new], size[new])
+        known.add(fresh, out[new])
+    return out, size
 
 
 def predict(net: ByteNet, texts: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -267,16 +285,20 @@ def identify(docs: DataFrame, net: ByteNet | None, keep: list[str]) -> DataFrame
     if net is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
+    # Each text is sent once, whether it is kept or not.
+    wanted = [*keep, *(["text"] if "text" not in keep else [])]
+    place = wanted.index("text")
+
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                names, scores = predict(net, batch.column(batch.num_columns - 1))
-                columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            for batch in by_bytes(whole, place, SLICE_BYTES):
+                names, scores = predict(net, batch.column(place))
+                columns = [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
 
-    rows = docs.select(*keep, F.col("text").alias("_text"))
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    rows = docs.select(*wanted)
+    schema = rows.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(label, schema)
 
 
@@ -285,4 +307,6 @@ def held_out(doc_id: Column) -> Column:
 
 
 def language_model(docs: DataFrame, docs_per_language: int = 250, max_docs: int = 4000) -> ByteNet | None:
-    return train(training_sample(docs, ~held_out(F.col("doc_id")), docs_per_language, max_docs))
+    net = train(training_sample(docs, ~held_out(F.col("doc_id")), docs_per_language, max_docs))
+    give_back()  # the driver has many stages before it
+    return net

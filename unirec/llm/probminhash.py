@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 
 from unirec.functions.shared import stored
 from unirec.llm.bytewords import CONTENT, mixed, sequence_digests, shingles, word_hashes, word_spans
+from unirec.llm.slices import by_bytes
+from unirec.llm.worker_memory import claim
 
 WORDS = 5
 BANDS = 24
@@ -39,6 +41,7 @@ BAND_ROWS = 5
 REGISTERS = BANDS * BAND_ROWS
 SHINGLE_BITS = 46
 ROWS = 2000  # texts of a batch that are worked on at a time; at most 2 ** (64 - SHINGLE_BITS)
+SLICE_BYTES = 1 << 20  # of texts that are worked on at a time
 BLOCK = 192  # texts on each side of a block of comparisons
 
 
@@ -55,6 +58,16 @@ def text_shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return key & np.uint64((1 << SHINGLE_BITS) - 1), (key >> np.uint64(SHINGLE_BITS)).astype(np.int64), times, counts, sequence_digests(hashes, counts)
 
 
+def sliced_shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles and owners of many texts, worked out slice by slice."""
+    found, first = [], 0
+    for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["text"]), 0, SLICE_BYTES, ROWS):
+        shingle, owner = text_shingles(part.column(0))[:2]
+        found.append((shingle, owner + first))
+        first += part.num_rows
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
 def registers(shingle: np.ndarray, owner: np.ndarray, weight: np.ndarray, texts: int, m: int = REGISTERS) -> np.ndarray:
     """texts x m: the shingle that arrives first at each register (0 for texts without shingles)."""
     best = np.full(texts * m, np.inf)
@@ -96,9 +109,9 @@ def banded(kept: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, node (digest of the words; null without words) and bands."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near")
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
+            for batch in by_bytes(whole, 2, SLICE_BYTES, ROWS):
                 shingle, owner, times, counts, digests = text_shingles(batch.column(2))
                 blank = counts == 0
                 weighted = banded(registers(shingle, owner, 1 + np.log(times), len(counts)))
@@ -124,8 +137,7 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts have a Jaccard of 0.8 or more."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, ROWS // 4):
-                batch = whole.slice(at, ROWS // 4)
+            for batch in by_bytes(whole, [2, 3], SLICE_BYTES, ROWS):
                 n = batch.num_rows
                 a, b = (text_shingles(batch.column(c))[:2] for c in (2, 3))
                 key = np.sort(np.concatenate([o.astype(np.uint64) << np.uint64(SHINGLE_BITS) | s for s, o in (a, b)]))
@@ -142,7 +154,7 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def block_links(rows: pd.DataFrame) -> pd.DataFrame:
     """A forest of links between the labelled classes of a block; all pairs of texts are compared."""
     rows = rows.drop_duplicates("node")
-    shingle, owner, _, _, _ = text_shingles(pa.array(rows["text"], pa.string()))
+    shingle, owner = sliced_shingles(pa.array(rows["text"], pa.large_string()))
     size = np.bincount(owner, minlength=len(rows))
     values, column = np.unique(shingle, return_inverse=True)
     shared = np.bincount(column) > 1
@@ -230,7 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # A text without words has a label of its own.
     placed = signed.select("doc_id", "text_key", "node").join(labels, "node", "left")
-    alone = F.concat(F.lit("-").cast("binary"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), F.col("text_key").cast("string").cast("binary"))
+    alone = F.concat(F.lit("-").cast("binary"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), F.lit("-").cast("binary"), F.col("text_key").cast("string").cast("binary"))
     placed = placed.withColumn("label", F.coalesce("label", "node", alone))
     rows = stored(placed.groupBy("label", "doc_id", "text_key").agg(F.count("*").alias("copies")), "near-rows")
     source = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("s")

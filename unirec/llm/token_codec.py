@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import stored
+from unirec.llm.slices import by_bytes
+from unirec.llm.worker_memory import claim, remember
 
 MAX_BITS = 20
 BLOCK_TOKENS = 1 << 20
@@ -52,7 +54,8 @@ class ByteBpe:
     the ids of the pieces in a row are the ids of the text.  Texts with any other space are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE_PIECES):
+        self.cache = cache
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -94,7 +97,7 @@ class ByteBpe:
             ids = known.get(p)
             ids = new[p] if ids is None else ids
             out[i] = ids if len(p) == len(pieces[i]) else ids + self.tails[pieces[i][-1]]
-        if len(known) < CACHE_PIECES:
+        if len(known) < self.cache:
             known.update(new)
         return out
 
@@ -134,9 +137,10 @@ def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> ByteBpe:
+def _tokenizer(path: str, cache: int) -> ByteBpe:
     """One per Python worker, with its cache, for all tasks that the worker runs."""
-    return ByteBpe(path)
+    remember("tokens", _tokenizer.cache_clear)
+    return ByteBpe(path, cache)
 
 
 # --- codes ------------------------------------------------------------------------------------------------------
@@ -244,18 +248,19 @@ def unpack_block(book: Codebook, block: bytes) -> tuple[np.ndarray, np.ndarray,
 
 SLICE = 512  # rows of a batch that are worked on at a time
 ENCODED_ROWS = 3000  # more, so that a word is met more often in a batch
+ENCODED_BYTES = 16 << 20
 
 
-def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, cache: int = CACHE_PIECES) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian u16 where every id fits, else u32), dealt and sorted by doc_id, with the
     part of the order a row is in and the number of ids before it in that part."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _tokenizer(tokenizer_path)
+        claim("tokens")
+        bpe = _tokenizer(tokenizer_path, cache)
         kind = np.uint16 if bpe.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         before = 0
         for whole in batches:
-            for at in range(0, whole.num_rows, ENCODED_ROWS):
-                batch = whole.slice(at, ENCODED_ROWS)
+            for batch in by_bytes(whole, 1, ENCODED_BYTES, ENCODED_ROWS):
                 ids, counts = bpe.encode(batch.column(1))
                 n = len(counts)
                 ends = np.cumsum(counts + 1)
@@ -294,15 +299,16 @@ def token_counts(ids: DataFrame, wide: bool) -> DataFrame:
     return ids.select("ids").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, path: str) -> None:
-    """Writes ``path/blocks`` and ``path/codes``."""
+def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, cache: int = CACHE_PIECES) -> None:
+    """Writes ``path/blocks`` and ``path/codes``.  A worker remembers the ids of up to ``cache`` pieces of either kind: fewer
+    take less memory and more time."""
     import tokenizers
 
     spark = docs.sparkSession
     vocabulary = tokenizers.Tokenizer.from_file(tokenizer_path).get_vocab_size()
     wide = vocabulary > 1 << 16
     kind = np.uint32 if wide else np.uint16
-    ids = tokenise(docs, tokenizer_path, end_id)
+    ids = tokenise(docs, tokenizer_path, end_id, cache)
     counts = {r.token: r.n for r in token_counts(ids, wide).collect()}  # at most one row per id of the vocabulary
     lengths = code_lengths(counts) if counts else {}
     spark.createDataFrame(sorted(lengths.items()), "token long, bits int").write.parquet(f"{path}/codes")

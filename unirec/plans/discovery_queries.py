@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unirec.functions.shared import stored
-from unirec.operators.counts import catalog_summary
+from unirec.operators.counts import catalog_summary, pipeline_summary
 from unirec.operators.keys import discover_merge_keys
 from unirec.operators.match import (
     active_sources, canonical_fields, match_entities, matched_columns, propose_fields, propose_mappings,
 )
 from unirec.operators.profile import infer_json_columns, merge_key_candidates
-from unirec.plans.derived import SOURCES, SPECS, spread, table
+from unirec.plans.derived import SOURCES, SPECS, entity_log, spread, table
 from unirec.plans.event_queries import all_events
 from unirec.sources.catalog import row_counts, table_catalog
+from unirec.sources.envelope import dead_letters, decode_events, with_position
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
@@ -109,6 +110,20 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog_summary(source_catalog(spark, sf_dir))
 
 
+def whole_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources, what was matched among them, the models proposed, and a log that holds two kinds of unreadable rows."""
+    catalog = source_catalog(spark, sf_dir)
+    matches = stored(match_entities(catalog), "matches")
+    models = propose_fields(matched_columns(matches, catalog))
+    logs = [entity_log(spark, sf_dir, entity) for entity in ("customer", "product")]
+    named = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
+    broken = with_position(
+        named.select(F.lit(None).cast("binary").alias("key"), F.when(~F.col("name").startswith("A"), F.encode("name", "UTF-8")).alias("value"), F.lit("canonical.nation").alias("topic")),
+        3, F.lit(0), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    decoded = decode_events(logs[0].unionByName(logs[1]).unionByName(broken), keep_raw=True)
+    return pipeline_summary(catalog, matches, models, decoded, dead_letters(decoded))
+
+
 def matches_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_entities(source_catalog(spark, sf_dir))
 
@@ -165,6 +180,19 @@ WHERE canonical_name <> 'event'
 """
 
 
+WHOLE_SUMMARY_SQL = MATCH_SQL + f"""
+, fields AS (SELECT DISTINCT canonical_name, CASE WHEN lower(name) = 'id' THEN canonical_name || '_id' ELSE {SNAKED} END AS field
+  FROM catalog JOIN named USING (source, "table"))
+SELECT source || ' tables' AS item, count(DISTINCT "table") AS n FROM catalog GROUP BY source
+UNION ALL SELECT 'entity matches', count(DISTINCT canonical_name) FROM named
+UNION ALL SELECT 'canonical models', count(DISTINCT canonical_name) FROM named
+UNION ALL SELECT 'canonical fields', count(*) FROM fields
+UNION ALL SELECT 'topics', 2
+UNION ALL SELECT 'events', (SELECT 3 * count(*) FROM customer) + (SELECT 2 * count(*) FROM part)
+UNION ALL SELECT CASE WHEN n_name LIKE 'A%' THEN 'errors: empty' ELSE 'errors: malformed' END, count(*) FROM nation GROUP BY ALL
+"""
+
+
 def merge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spread(table(spark, sf_dir, "lineitem"))
     by_line = merge_key_candidates(items, [
@@ -232,6 +260,7 @@ QUERIES = {
     "infer_json_types": infer_json_types,
     "infer_source_catalog": infer_source_catalog,
     "catalog_summary": summary,
+    "pipeline_summary": whole_summary,
     "match_entities": matches_of_sources,
     "active_sources": active_sources_query,
     "propose_fields": fields_proposed,
@@ -253,6 +282,7 @@ FROM information_schema.columns JOIN counts ON counts."table" = table_name""",
 t AS (SELECT source, "table", count(*) AS n_columns, max(row_count) AS n_rows FROM catalog GROUP BY source, "table")
 SELECT source, count(*) AS n_tables, CAST(sum(n_columns) AS BIGINT) AS n_columns, CAST(sum(n_rows) AS BIGINT) AS n_rows
 FROM t GROUP BY source""",
+    "pipeline_summary": WHOLE_SUMMARY_SQL,
     "match_entities": MATCH_SQL + """
 SELECT canonical_name, min("table") FILTER (WHERE source = 'postgres') AS postgres_table,
   min("table") FILTER (WHERE source = 'sqlserver') AS sqlserver_entity,

@@ -16,6 +16,7 @@ from unirec.plans.sql import CUSTOMER_ROWS, ORDER_ROWS, canonical, latest
 from unirec.sources.envelope import decode_events, encode_events
 from unirec.sources.topics import file_log_stream
 from unirec.streaming.entity import EntityStream, drop_repeated_events
+from unirec.streaming.monitor import stop_gracefully
 
 ALL_NOW = {"availableNow": True}
 # Few, so that small logs make several batches too; the results do not depend on where batches end.
@@ -120,6 +121,21 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", F.get_json_object("payload", "$.s_suppkey").cast("bigint").alias("s_suppkey"))
 
 
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that runs by the clock while the log grows, stopped between two batches and started again."""
+    folder = new_folder(spark, "stream-clock")
+    for sources in (["postgres"], ["sqlserver", "teradata"]):
+        log = write_log(spark, sf_dir, folder, "customer", sources[:1])
+        stream = EntityStream(spark, CUSTOMER, folder, mode="event_time", ingest_date=INGEST_DATE, batch_timestamp=BATCH_STAMP)
+        query = stream.start(file_log_stream(spark, log, ["customer"]), ["canonical"], {"processingTime": "500 milliseconds"})
+        query.processAllAvailable()
+        for source in sources[1:]:
+            write_log(spark, sf_dir, folder, "customer", [source])
+            query.processAllAvailable()
+        stop_gracefully([query])
+    return stream.read_canonical().drop(*POSITION)
+
+
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After the stream, its last batches are written again as a restart would do; nothing changes."""
     stream, query = run_entity(spark, sf_dir, CUSTOMER, ["canonical", "warehouse"], mode="event_time")
@@ -179,6 +195,7 @@ QUERIES = {
     "stream_dedup_events": stream_dedup,
     "stream_replay_idempotent": stream_replay,
     "stream_progress": stream_progress,
+    "stream_processing_time": stream_processing_time,
     "batch_sink_counts": batch_sink_counts,
     "dedup_keeps_dead_letters": dedup_keeps_dead_letters,
 }
@@ -206,6 +223,7 @@ UNION ALL SELECT 'order', _source, count(*), max(updated_at) FROM order_rows GRO
 UNION ALL SELECT 'activity', _source, count(*), max(updated_at) FROM activity_rows GROUP BY _source""",
     "stream_dedup_events": "SELECT 'INSERT' AS event_type, s_suppkey FROM supplier",
     "stream_replay_idempotent": LATEST_CUSTOMER,
+    "stream_processing_time": LATEST_CUSTOMER,
     "batch_sink_counts": """
 SELECT s.sink, CAST(CASE WHEN s.sink IN ('dead_letters', 'quarantine') THEN 0 ELSE 3 * n END AS BIGINT) AS n_rows
 FROM (SELECT count(*) AS n FROM customer), (VALUES ('input'), ('raw'), ('dead_letters'), ('canonical'), ('quarantine'), ('warehouse')) s(sink)""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +32,21 @@ def status_table(spark: SparkSession, queries: Iterable[StreamingQuery] | None =
     return spark.createDataFrame(rows, STATUS_COLUMNS)
 
 
-def await_all(queries: Iterable[StreamingQuery]) -> None:
-    """Wait for every query; the first failure is raised."""
+def stop_gracefully(queries: Iterable[StreamingQuery], seconds: float = 60.0) -> list[str]:
+    """Stop queries between two batches, so that no batch is cut short.  A query that does not come to its end in time is
+    stopped all the same (its batch is repeated from the checkpoint) and named in the result; the first failure is raised."""
+    late = []
     for q in queries:
-        q.awaitTermination()
+        end = time.monotonic() + seconds
+        while q.isActive and q.status["isTriggerActive"] and time.monotonic() < end:
+            time.sleep(0.05)
+        if q.isActive and q.status["isTriggerActive"]:
+            late.append(q.name)
+        q.stop()
+        failed = q.exception()
+        if failed:
+            raise failed
+    return late
 
 
 def stop_all(spark: SparkSession) -> None:
