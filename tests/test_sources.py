@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from unirec.functions.names import entity_name, skeleton, snake
 from unirec.functions.shared import child_names, new_folder, remove, write_state
 from unirec.operators.match import match_entities, propose_mappings
-from unirec.operators.profile import infer_json_columns, merge_key_candidates
+from unirec.operators.profile import infer_json_columns, infer_json_paths, merge_key_candidates
 from unirec.sinks.warehouse import coerce_datetimes, create_namespace, create_or_append, datetime_columns
 from unirec.sources.catalog import column_statistics, dictionary_catalog, information_schema_catalog, normalise_columns, with_statistics
 from unirec.sources.envelope import (
@@ -294,3 +294,15 @@ def test_marks_never_fall_and_broken_publishing_is_found(spark):
     publish_to_file_log(events, log)
     offsets = [r["offset"] for r in file_log(spark, log).select("offset").collect()]
     assert len(set(offsets)) == 4 and sorted(offsets)[2] > last
+
+
+def test_nested_paths(spark):
+    docs = ['{"a":{"b":[1,2.5,null]},"c":null}', '{"a":{"b":"x"},"c":"2024-01-01"}', '[1]', "no json", None, '{"a":{}}', "7"]
+    got = {r["path"]: (r["data_type"], r["n_values"], r["n_nulls"], r["row_count"])
+           for r in infer_json_paths(spark.createDataFrame([(d,) for d in docs], "j string"), "j").collect()}
+    assert got == {
+        "$": ("string", 6, 0, 6), "$[]": ("integer", 1, 0, 6), "$.a": ("object", 3, 0, 6), "$.c": ("date", 2, 1, 6),
+        "$.a.b": ("string", 2, 0, 6), "$.a.b[]": ("float", 3, 1, 6)}
+    shallow = infer_json_paths(spark.createDataFrame([(d,) for d in docs], "j string"), "j", depth=1)
+    assert {r["path"] for r in shallow.collect()} == {"$", "$[]", "$.a", "$.c"}
+    assert infer_json_paths(spark.createDataFrame([], "j string"), "j").count() == 0

@@ -69,6 +69,50 @@ def infer_json_columns(docs: DataFrame, column: str, group: Sequence[str] = ())
         (F.col("name") == "id").alias("is_primary_key"), "row_count")
 
 
+def infer_json_paths(docs: DataFrame, column: str, group: Sequence[str] = (), depth: int = 8) -> DataFrame:
+    """Paths of JSON documents, nested ones too, over all rows: ``group``, path, data_type, n_values, n_nulls, and row_count of
+    the group.
+
+    ``$.a.b`` is a member of a member and ``$.a[]`` every element of a list.  Containers count as ``object`` and ``array`` and are
+    opened down to ``depth`` levels.  Text that is no JSON is a value ``$`` of type string.  The documents are read and parsed
+    once: each level opens the containers of the level before it, and all values fold to one count per path and type.
+    """
+    group = list(group)
+    parsed = F.try_parse_json(column)
+    node = F.struct(F.lit("$").alias("path"), parsed.alias("value"), F.lit(0).alias("level"))
+    nodes = docs.filter(F.col(column).isNotNull()).select(*group, node.alias("_n"))
+    for level in range(depth):
+        path, value, kind = F.col("_n.path"), F.col("_n.value"), kind_of(F.col("_n.value"))
+
+        def child(name: Column, inner: Column) -> Column:
+            return F.struct(F.concat(path, name).alias("path"), inner.alias("value"), F.lit(level + 1).alias("level"))
+
+        members = F.transform(F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")), lambda e: child(F.concat(F.lit("."), e["key"]), e["value"]))
+        elements = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda e: child(F.lit("[]"), e))
+        inside = F.when(kind.startswith("OBJECT"), members).when(kind.startswith("ARRAY"), elements)
+        opened = F.when(F.col("_n.level") == level, inside)
+        nodes = nodes.select(*group, F.explode(F.concat(F.array("_n"), F.coalesce(opened, F.array().cast(opened_type())))).alias("_n"))
+    kind = kind_of(F.col("_n.value"))
+    # A member that is JSON null is a variant of kind VOID; no variant at all is text that is no JSON.
+    found = (
+        F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array")
+        .when(F.col("_n.value").isNull(), F.when(F.col("_n.path") == "$", "string").otherwise("null")).otherwise(json_type(F.col("_n.value"))))
+    counted = nodes.groupBy(*group, F.col("_n.path").alias("path"), found.alias("type")).agg(F.count("*").alias("n"))
+    folded = counted.groupBy(*group, "path").agg(
+        F.collect_set("type").alias("types"), F.sum("n").alias("n_values"),
+        F.sum(F.when(F.col("type") == "null", F.col("n")).otherwise(0)).alias("n_nulls"))
+    folded = stored(folded, "json-paths")
+    mark = F.to_json(F.struct(*group), {"ignoreNullFields": "false"}) if group else F.lit("all")
+    folded = folded.withColumn("_group", mark)
+    totals = folded.filter("path = '$'").select("_group", F.col("n_values").alias("row_count"))
+    return folded.join(totals, "_group").select(
+        *group, "path", common_type(F.col("types")).alias("data_type"), "n_values", "n_nulls", "row_count")
+
+
+def opened_type() -> str:
+    return "array<struct<path:string,value:variant,level:int>>"
+
+
 def merge_key_candidates(df: DataFrame, candidates: Sequence[Sequence[str]]) -> DataFrame:
     """Profile of possible merge keys: rows, distinct values, rows with a null, and whether the
     candidate identifies every row.

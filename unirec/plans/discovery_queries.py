@@ -13,7 +13,7 @@ from unirec.operators.keys import discover_merge_keys
 from unirec.operators.match import (
     active_sources, canonical_fields, match_entities, matched_columns, propose_fields, propose_mappings,
 )
-from unirec.operators.profile import infer_json_columns, merge_key_candidates
+from unirec.operators.profile import infer_json_columns, infer_json_paths, merge_key_candidates
 from unirec.plans.derived import SOURCES, SPECS, entity_log, spread, table
 from unirec.plans.event_queries import all_events
 from unirec.sources.catalog import row_counts, table_catalog
@@ -110,6 +110,31 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog_summary(source_catalog(spark, sf_dir))
 
 
+def infer_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested documents made of the events: objects in lists, lists of mixed values, members that only some have."""
+    kind, number = F.col("event_type"), F.col("value").cast("string")
+    some = F.when(kind == "error", F.concat(F.lit(',"more":[{"code":'), number, F.lit("},7]"))).otherwise(
+        F.when(kind == "signup", F.lit(',"more":"2024-02-30"')).otherwise(F.lit("")))
+    document = F.concat(
+        F.lit('{"user":{"id":'), F.col("user_id").cast("string"), F.lit(',"day":"2024-01-01"},"props":'), F.col("props"),
+        F.lit(',"values":['), number, F.lit(',null,{"t":true,"u":[[]]}]'), some, F.lit("}"))
+    docs = spread(table(spark, sf_dir, "events")).select("event_type", document.alias("document"))
+    return infer_json_paths(docs, "document", ("event_type",))
+
+
+PATHS_SQL = r"""
+WITH d AS (SELECT event_type, '{"user":{"id":' || user_id || ',"day":"2024-01-01"},"props":' || props || ',"values":[' || value || ',null,{"t":true,"u":[[]]}]'
+    || CASE event_type WHEN 'error' THEN ',"more":[{"code":' || value || '},7]' WHEN 'signup' THEN ',"more":"2024-02-30"' ELSE '' END || '}' AS j FROM events),
+t AS (SELECT event_type, regexp_replace(t.fullkey, '\[[0-9]+\]', '[]', 'g') AS path, CASE t.type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+    WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DOUBLE' THEN 'float' WHEN 'BIGINT' THEN 'integer' WHEN 'UBIGINT' THEN 'integer'
+    ELSE CASE WHEN length(t.atom ->> '$') = 10 AND substr(t.atom ->> '$', 5, 1) = '-' THEN 'date' ELSE 'string' END END AS type
+  FROM d, json_tree(d.j) t)
+SELECT event_type, path, CASE WHEN count(DISTINCT type) FILTER (type <> 'null') = 1 THEN min(type) FILTER (type <> 'null')
+    WHEN bool_and(type IN ('integer', 'float', 'null')) AND count(DISTINCT type) FILTER (type <> 'null') = 2 THEN 'float' ELSE 'string' END AS data_type,
+  count(*) AS n_values, count(*) FILTER (type = 'null') AS n_nulls, (SELECT count(*) FROM d WHERE d.event_type = t.event_type) AS row_count
+FROM t GROUP BY event_type, path"""
+
+
 def whole_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sources, what was matched among them, the models proposed, and a log that holds two kinds of unreadable rows."""
     catalog = source_catalog(spark, sf_dir)
@@ -258,6 +283,7 @@ QUERIES = {
     "column_catalog": column_catalog,
     "table_row_counts": table_row_counts,
     "infer_json_types": infer_json_types,
+    "infer_json_paths": infer_paths,
     "infer_source_catalog": infer_source_catalog,
     "catalog_summary": summary,
     "pipeline_summary": whole_summary,
@@ -277,6 +303,7 @@ SELECT 'spark' AS source, 'parquet' AS platform, 'testdata' AS database, table_n
 FROM information_schema.columns JOIN counts ON counts."table" = table_name""",
     "table_row_counts": COUNTS,
     "infer_json_types": INFER_SQL,
+    "infer_json_paths": PATHS_SQL,
     "infer_source_catalog": f"WITH {SOURCE_COLUMNS} SELECT * FROM catalog",
     "catalog_summary": f"""WITH {SOURCE_COLUMNS},
 t AS (SELECT source, "table", count(*) AS n_columns, max(row_count) AS n_rows FROM catalog GROUP BY source, "table")
