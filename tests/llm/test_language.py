@@ -1,4 +1,7 @@
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -82,3 +85,27 @@ def test_without_training_rows(spark):
     assert language_model(docs) is None
     assert identify(docs, None, ["doc_id"]).first() == (1, "und", 0.0)
     assert identify(docs.limit(0), None, ["doc_id"]).count() == 0
+
+
+def test_memory_follows_the_slices():
+    """300 texts of 160 kB, read in slices in a process of its own."""
+    script = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from unirec.llm.language import SLICE_BYTES, ByteNet, predict
+from unirec.llm.probminhash import ROWS, sliced_shingles
+from unirec.llm.slices import by_bytes
+rng = np.random.default_rng(1)
+letters = np.frombuffer(b"abcdefghij     ", np.uint8)
+texts = pa.array([letters[rng.integers(0, len(letters), 160_000)].tobytes().decode() for _ in range(300)])
+net = ByteNet(["a", "b"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for part in by_bytes(pa.RecordBatch.from_arrays([texts], names=["t"]), 0, SLICE_BYTES):
+    predict(net, part.column(0))
+middle = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+sliced_shingles(texts)
+print(middle - before, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - middle)
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    read, hashed = map(int, out.stdout.split())
+    assert read < 500_000 and hashed < 700_000  # kB
