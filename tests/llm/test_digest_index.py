@@ -1,6 +1,9 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from unirec.llm.digest_index import DigestIndex, digest, exact_dedup
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,3 +52,20 @@ def test_index_persists_and_a_batch_twice_changes_nothing(spark, tmp_path):
     assert sorted(r.keep_id for r in again.read().collect()) == [2, 3, 10]
     plan = batch([(1, "a")]).join(again.read().hint("merge"), "digest", "left_anti")._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_reopened_index_keeps_its_buckets(spark, tmp_path):
+    """Another session with another catalogue and another wish for buckets."""
+    path = str(tmp_path / "index")
+    members = spark.range(5000).select(F.col("id").alias("doc_id"), digest(F.col("id").cast("string")).alias("digest"))
+    DigestIndex(spark, path, 16).ingest(members)
+    spark.sql(f"DROP TABLE {DigestIndex(spark, path, 16).name}")  # external: the files stay
+    again = DigestIndex(spark, path, 20)
+    assert again.buckets == 16
+    again.ingest(members)
+    again.ingest(members.withColumn("doc_id", F.col("doc_id") + 9000))
+    assert again.read().count() == again.read().select("digest").distinct().count() == 5000
+    assert spark.read.parquet(path).count() == 5000
+    spark.range(1).write.parquet(str(tmp_path / "foreign"))
+    with pytest.raises(ValueError):
+        DigestIndex(spark, str(tmp_path / "foreign"), 4)
