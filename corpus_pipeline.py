@@ -2,6 +2,10 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept; its result is written as
 Parquet and read again as the next one's ``docs``.  All but the last return the columns of ``documents``.
+
+Whatever the stage, a null doc_id, lang or source is a value like any other, extra columns are dropped, and an empty table
+gives an empty result.  A null text has no language, so the first stage drops it.  Rows that are equal in doc_id and text are
+one document from the second stage on; of their other columns the smallest values stay, so reruns agree.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from unirec.llm.token_codec import read_ids, write_ids
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A document goes when it has no letter or no language reaches this share.
 LEAST_SCORE = 0.3
+# The workers of the last stage have run four others before; they remember fewer pieces than where tokens are all they make.
+REMEMBERED_PIECES = 200_000
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -34,6 +40,12 @@ def only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return d.join(c, same, "left_semi").select(*COLUMNS)
 
 
+def one_of_equal(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of ``keys``: the smallest of the other columns, taken together."""
+    rest = [c for c in docs.columns if c not in keys]
+    return docs.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in docs.columns])
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that have a language."""
     found = identify(docs.select(*COLUMNS), language_model(docs), COLUMNS)
@@ -43,7 +55,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class; of equal rows one."""
     kept = stored(near_duplicates(docs).filter("kept").select("doc_id", "text_key"), "kept")
-    return only(docs, kept).dropDuplicates(["doc_id", "text"])
+    return one_of_equal(only(docs, kept), ["doc_id", "text"])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +73,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     spans = draws.groupBy("row_id", "in_pass").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))
     spans = stored(rows.join(spans, "row_id").select("doc_id.*", "size", "spans"), "mix-spans")
     # Equal rows have spans each; their text is needed once.
-    d, s = d.dropDuplicates(["doc_id", "text_key"]).alias("d"), spans.alias("s").hint("merge")
+    d, s = one_of_equal(d, ["doc_id", "text_key"]).alias("d"), spans.alias("s").hint("merge")
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_key") == F.col("s.text_key"))
     taken = d.join(s, same).select("d.*", "s.size", "s.spans")
     whole = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["n_words"]) == F.col("size")
@@ -76,7 +88,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = new_folder(spark, "tokens")
-    write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, path)
+    write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, path, REMEMBERED_PIECES)
     return read_ids(spark, path)
 
 
