@@ -90,7 +90,10 @@ def find_windows(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Data
     prints = with_fingerprints(texts, classes).select(
         "doc_id", "text_key", F.explode(F.concat(F.array(-1 - F.size("words").cast("long")), F.col("prints"))).alias("v"))
     prints = prints.withColumn("print", F.when(F.col("v") >= 0, F.shiftright("v", POSITION_BITS)))
-    known = with_fingerprints(items, classes).select("item", "class", F.explode("prints").alias("i"))
+    # Exploded behind a first element of its own: of the bare column the optimiser would infer a filter, for which it copies
+    # the whole chain of expressions into itself (a plan of megabytes).
+    known = with_fingerprints(items, classes).select(
+        "item", "class", F.explode(F.concat(F.array(F.lit(-1).cast("long")), F.col("prints"))).alias("i")).filter("i >= 0")
     known = known.withColumn("print", F.shiftright("i", POSITION_BITS)).filter(F.shiftright("print", HASH_BITS) == F.col("class"))
     known = stored(known.select("print", "item", F.col("i").bitwiseAND(F.lit(POSITION)).alias("at_item")), "item-prints")
     met = prints.join(known, "print", "left").filter((F.col("v") < 0) | F.col("item").isNotNull())
