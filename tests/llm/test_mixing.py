@@ -90,3 +90,26 @@ def test_hypergeometric_has_its_distribution(spark):
         hypergeometric(F.lit(0.5), F.lit(5).cast("long"), F.lit(5).cast("long"), F.lit(3).cast("long")).alias("a"),
         hypergeometric(F.lit(0.5), F.lit(5).cast("long"), F.lit(0).cast("long"), F.lit(3).cast("long")).alias("b")).first()
     assert edge.a == 3 and edge.b == 0
+
+
+def test_shards_and_places_reach_the_result(spark):
+    """The tree deals all blocks to shards of nearly one size, and each shard's order is a shuffle of its own."""
+    rows = taken_words(rows_of(spark), 16, 40, 5).collect()
+    at = defaultdict(lambda: defaultdict(int))
+    for r in rows:
+        pieces = [tuple(map(int, b.split(":"))) for b in r.blocks.split(",")] if r.blocks else []
+        assert pieces == sorted(pieces) and sum(n for _, _, _, n in pieces) == r.taken
+        for shard, place, first, n in pieces:
+            assert 0 <= first and first + n <= r.size
+            at[shard][place] += n
+    assert len(at) > 3 and sorted(at) == list(range(len(at)))
+    for places in at.values():
+        assert sorted(places) == list(range(len(places))) and max(places.values()) <= 16
+    sizes = [len(p) for p in at.values()]
+    assert max(sizes) <= 40 and max(sizes) - min(sizes) <= 1
+    # One document's blocks lie in many shards, and not in the order of its words.
+    long = next(r for r in rows if r.doc_id == 503)
+    pieces = [tuple(map(int, b.split(":"))) for b in long.blocks.split(",")]
+    firsts = [first for _, _, first, _ in pieces]
+    assert len({shard for shard, *_ in pieces}) > 3 and firsts != sorted(firsts)
+    assert taken_words(rows_of(spark), 16, 40, 6).select("blocks").distinct().collect() != taken_words(rows_of(spark), 16, 40, 5).select("blocks").distinct().collect()

@@ -229,8 +229,12 @@ def mix(docs: DataFrame, block_words: int, shard_blocks: int, seed: int) -> tupl
 
 
 def taken_words(docs: DataFrame, block_words: int, shard_blocks: int, seed: int) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source_size, target, taken."""
+    """Per row of ``docs``: doc_id, size, source_size, target, taken, and ``blocks``: where its pieces stand in the mix, as
+    ``shard:place:first_word:n_words`` in that order, joined by commas (empty for a document that is not taken)."""
     rows, draws = mix(docs, block_words, shard_blocks, seed)
-    taken = draws.groupBy("row_id").agg(F.sum("n_words").alias("taken"))
+    piece = F.struct("shard", "place", "first_word", "n_words")
+    taken = draws.groupBy("row_id").agg(F.sum("n_words").alias("taken"), F.array_sort(F.collect_list(piece)).alias("pieces"))
+    blocks = F.array_join(F.transform("pieces", lambda p: F.concat_ws(":", p["shard"], p["place"], p["first_word"], p["n_words"])), ",")
     return rows.join(taken, "row_id", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce(blocks, F.lit("")).alias("blocks"))
