@@ -26,11 +26,12 @@ POSITION = ("_partition", "_offset")
 
 
 def write_log(spark: SparkSession, sf_dir: str, folder: str, entity: str, sources: Sequence[str] | None = None) -> str:
-    """One append per source, so that a stream can take the sources in several batches."""
+    """One append per source, so that a stream can take the sources in several batches.  The files of an append are as many
+    as a batch takes, however many tasks encode the events."""
     path = f"{folder}/log"
     for source in sources or SOURCES[entity]:
         rows = as_log(source_events(spark, sf_dir, entity, source))
-        rows.write.mode("append").partitionBy("topic").parquet(path)
+        rows.repartition(FILES_PER_BATCH).write.mode("append").partitionBy("topic").parquet(path)
     return path
 
 
