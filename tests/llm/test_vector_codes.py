@@ -85,3 +85,9 @@ def test_few_rows_other_lengths_and_empty(spark):
     _, books = trained(spark.createDataFrame(rows, SCHEMA))
     assert approximated("01" * 8, books) == [0.25] * 8
     assert (2 * exact_bound(8)) ** 2 * 8 <= 1 << 53
+
+
+def test_doubles_beyond_the_range_of_floats_are_dropped(spark):
+    rows = [(1, [1e300] * 8, 1), (2, [3.4e38] * 8, 1), (3, [0.1] * 8, 1)]
+    got = compress(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))).collect()
+    assert sorted(r.vec_id for r in got) == [2, 3]

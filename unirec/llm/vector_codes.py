@@ -13,10 +13,10 @@ A round is one pass: its task writes the rows with their new entries and, for ea
 task's parts; the driver gets one sum per entry and component.  The table of the round before is then removed.  Numbers
 whose squares do not fit a double exactly are worked out in Python's integers, and such parts keep no distance.
 
-Rows without a usable vector are dropped: null, empty, with a null or non-finite component, of a length that the parts do
-not divide, or of another length than most (of equally frequent lengths the shorter counts).  Rows that repeat count
-each; among equal vec_ids the vector decides, null vec_ids come last.  With fewer vectors than entries there are fewer
-entries.  Equal labels, null among them, share ``label_error``; sums beyond 64 bits are null.  Extra columns are
+Rows without a usable vector are dropped: null, empty, with a null or non-finite component (a double beyond the range of
+32-bit floats is one), of a length that the parts do not divide, or of another length than most (of equally frequent
+lengths the shorter counts).  Rows that repeat count each; among equal vec_ids the vector decides, null vec_ids come
+last.  With fewer vectors than entries there are fewer entries.  Equal labels, null among them, share ``label_error``; sums beyond 64 bits are null.  Extra columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -40,6 +40,7 @@ LIMB = 10 ** 27  # sums travel as high * LIMB + low
 UNKNOWN = -1
 LONG_MAX = (1 << 63) - 1
 HOT_SHARE = 1000
+LARGEST = float(np.finfo(np.float32).max)  # a larger double counts as infinite
 STATE = "codes binary, near binary, entry int, parts bigint, place int, high decimal(38,0), low decimal(38,0)"
 
 
@@ -147,7 +148,7 @@ def part_sums(numbers: np.ndarray, codes: np.ndarray, entries: int, sums: dict[t
 
 def usable(vectors: DataFrame, coding: Coding) -> DataFrame:
     """vec_id, label, vector: the rows that can be coded."""
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= LARGEST))
     kind = vectors.schema["embedding"].dataType.simpleString()
     vector = F.col("embedding") if kind == "array<float>" else F.col("embedding").cast("array<double>")
     rows = vectors.select("vec_id", "label", vector.alias("vector")).filter(F.col("vector").isNotNull())
