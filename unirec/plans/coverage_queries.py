@@ -113,8 +113,8 @@ def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def create_or_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first batch makes the table, an empty one changes nothing, the last adds to it."""
-    name = "canonical_" + new_folder(spark, "t").rsplit("-", 1)[1]
+    """The first batch makes the table and its namespace, an empty one changes nothing, the last adds to it."""
+    name = "staged.canonical_" + new_folder(spark, "t").rsplit("-", 1)[1]
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     finished = F.col("o_orderstatus") == "F"
     for batch in (rows.filter(finished), rows.filter("o_orderkey < -1"), rows.filter(~finished)):

@@ -76,5 +76,7 @@ def read_warehouse(spark: SparkSession, path: str, schema: T.StructType, days: S
 
 
 def create_or_append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Append to a catalogue table, which the first batch creates; it is never replaced."""
+    """Append to a catalogue table, which the first batch creates, with its namespace; neither is ever replaced."""
+    if "." in table:
+        create_namespace(df.sparkSession, table.rsplit(".", 1)[0])
     df.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
