@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 # Event types of the envelope.
 EVENT_TYPES = ("INSERT", "UPDATE", "DELETE", "SNAPSHOT")
 
+# Fields of the envelope and of its metadata.
 METADATA_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("database", T.StringType()),
@@ -178,7 +179,7 @@ def serialise(events: DataFrame, prefix: str = "canonical", keep: Sequence[str]
 
 
 def decode_events(log: DataFrame, keep_raw: bool = False) -> DataFrame:
-    """Log rows -> the 11 decoded columns.  ``keep_raw`` adds ``raw_value`` for the dead-letter split."""
+    """Log rows -> the 11 decoded columns (their names are fixed values).  ``keep_raw`` adds ``raw_value`` for the dead-letter split."""
     raw = ["raw_value", "raw_topic"] if keep_raw else []
     parsed = log.select(
         F.col("offset").alias("kafka_offset"),
