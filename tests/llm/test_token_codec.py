@@ -30,6 +30,13 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert counts.tolist() == [len(plain.encode(t or "", add_special_tokens=False).ids) for t in texts[100:200]]
 
 
+def test_a_remembered_piece_is_one_object():
+    bpe = ByteBpe(PATH)
+    bpe.encode(pa.array(["some plain words and, more of them."]))
+    kept = [ids for known in bpe.known.values() for ids in known.values()]
+    assert all(type(ids) is bytes and len(ids) % 4 == 0 for ids in kept)
+
+
 def test_code_lengths_are_optimal_and_limited():
     counts = {i: n for i, n in enumerate([1, 1, 2, 3, 5, 8, 13, 21, 34, 55])}
     free = code_lengths(counts, 20)

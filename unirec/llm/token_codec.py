@@ -20,7 +20,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +43,12 @@ UNEVEN = r"[\x00-\x20] | [\x00-\x20]|\A | \z|[\x{85}\x{a0}\x{1680}\x{180e}\x{200
 TAIL = frozenset(".,;:!?")
 SPARE = "."
 CACHE_PIECES = 700_000
+ID = np.dtype("<u4")
 
 
 class ByteBpe:
-    """Ids of whole texts by the tokenizers library, each distinct piece of a batch encoded once.
+    """Ids of whole texts by the tokenizers library, each distinct piece of a batch encoded once.  The ids of a piece are kept as
+    one bytes object (little-endian u32): a list holds an object for each id and takes several times the memory.
 
     Texts are cut before single spaces between two other characters, and between an ASCII letter and a punctuation
     mark that ends a piece.  No match of the byte-level pattern crosses these places and none looks beyond them, so
@@ -61,38 +62,38 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         # By whether a space comes before the piece.
-        self.known: dict[bool, dict[str, list[int]]] = {True: {}, False: {"": []}}
+        self.known: dict[bool, dict[str, bytes]] = {True: {}, False: {"": b""}}
         # In the byte-level alphabet a token has one character for each byte.
         names = self.tokenizer.get_vocab()
         self.width = np.zeros(max(names.values()) + 1, np.int64)
         self.width[list(names.values())] = list(map(len, names))
-        self.tails = {mark: self.whole(mark) for mark in TAIL}
+        self.tails = {mark: self.whole(mark).tobytes() for mark in TAIL}
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID)
 
-    def spaced_ids(self, words: list[str]) -> dict[str, list[int]]:
+    def spaced_ids(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words with a space before each: a row of them is encoded at once and cut at the words' bytes."""
         out = {}
         for start in range(0, len(words), 2000):
             part = words[start:start + 2000]
             ids = self.whole(" " + " ".join(part))
             ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in part), np.int64, len(part)))
-            cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
-            begin = 0
+            cuts = (np.searchsorted(np.cumsum(self.width[ids]), ends) + 1) * ID.itemsize
+            data, begin = ids.tobytes(), 0
             for w, end in zip(part, cuts.tolist()):
-                out[w] = ids[begin:end]
+                out[w] = data[begin:end]
                 begin = end
         return out
 
-    def piece_ids(self, pieces: list[str], spaced: bool) -> list[list[int]]:
+    def piece_ids(self, pieces: list[str], spaced: bool) -> list[bytes]:
         """The cache keeps the words that came first; beyond its size, words are kept for one batch."""
         known = self.known[spaced]
         out = [known.get(p) for p in pieces]
         missing = [i for i, ids in enumerate(out) if ids is None]
         bare = [pieces[i][:-1] if pieces[i][-1] in TAIL and pieces[i][-2:-1].isascii() and pieces[i][-2:-1].isalpha() else pieces[i] for i in missing]
         wanted = [p for p in dict.fromkeys(bare) if p not in known]
-        new = self.spaced_ids(wanted) if spaced else {p: self.whole(p) for p in wanted}
+        new = self.spaced_ids(wanted) if spaced else {p: self.whole(p).tobytes() for p in wanted}
         for i, p in zip(missing, bare):
             ids = known.get(p)
             ids = new[p] if ids is None else ids
@@ -114,9 +115,9 @@ class ByteBpe:
         code = coded.indices.to_numpy(zero_copy_only=False).copy()
         code[first[:-1]] = len(coded.dictionary) + heads.indices.to_numpy(zero_copy_only=False)
         ids = self.piece_ids(coded.dictionary.to_pylist(), True) + self.piece_ids(heads.dictionary.to_pylist(), False)
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // ID.itemsize
         begin = np.cumsum(size) - size
-        bank = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        bank = np.frombuffer(b"".join(ids), ID)
         per = size[code]
         out = bank[_ranges(begin[code], per)]
         ends = np.append(0, np.cumsum(per))[first]
@@ -124,7 +125,7 @@ class ByteBpe:
         if whole.any():
             parts = [out[a:b] for a, b in zip(ends[:-1], ends[1:])]
             for i in np.flatnonzero(whole):
-                parts[i] = np.array(self.whole(texts[i].as_py()), np.uint32)
+                parts[i] = self.whole(texts[i].as_py())
                 counts[i] = len(parts[i])
             out = np.concatenate(parts)
         return out, counts
