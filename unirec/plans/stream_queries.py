@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from unirec.functions.shared import new_folder
 from unirec.plans.derived import (
-    ACTIVITY, CUSTOMER, DATABASES, INGEST_DATE, ORDER, SOURCES, as_log, source_events, table,
+    ACTIVITY, CUSTOMER, DATABASES, INGEST_DATE, ORDER, SOURCES, as_log, encode_tasks, source_events, source_rows, table,
 )
 from unirec.plans.mapping_queries import ACTIVITY_ROWS
 from unirec.plans.sql import CUSTOMER_ROWS, ORDER_ROWS, canonical, latest
@@ -19,19 +19,28 @@ from unirec.streaming.entity import EntityStream, drop_repeated_events
 from unirec.streaming.monitor import stop_gracefully
 
 ALL_NOW = {"availableNow": True}
-# Few, so that small logs make several batches too; the results do not depend on where batches end.
+# The least files of an append: few, so that small logs make several batches too; the results do not depend on where batches end.
 FILES_PER_BATCH = 2
 BATCH_STAMP = "2024-02-01T00:00:00.000000+00:00"
 POSITION = ("_partition", "_offset")
 
 
+def log_files(spark: SparkSession, sf_dir: str, entity: str, source: str) -> int:
+    """Files of one append, and so of one batch: as many as tasks encode the events, so that no task writes or reads more as
+    the source grows."""
+    rows = source_rows(spark, sf_dir, entity, source)
+    return max(FILES_PER_BATCH, encode_tasks(rows) or rows.rdd.getNumPartitions())
+
+
 def write_log(spark: SparkSession, sf_dir: str, folder: str, entity: str, sources: Sequence[str] | None = None) -> str:
-    """One append per source, so that a stream can take the sources in several batches.  The files of an append are as many
-    as a batch takes, however many tasks encode the events."""
+    """One append per source, so that a stream can take the sources in several batches.  Only an append of the least files is
+    dealt to them; otherwise the tasks that encode the events write them."""
     path = f"{folder}/log"
     for source in sources or SOURCES[entity]:
         rows = as_log(source_events(spark, sf_dir, entity, source))
-        rows.repartition(FILES_PER_BATCH).write.mode("append").partitionBy("topic").parquet(path)
+        if log_files(spark, sf_dir, entity, source) == FILES_PER_BATCH:
+            rows = rows.repartition(FILES_PER_BATCH)
+        rows.write.mode("append").partitionBy("topic").parquet(path)
     return path
 
 
@@ -44,7 +53,7 @@ def run_entity(
     stream = EntityStream(
         spark, spec, folder, ingest_date=INGEST_DATE, batch_timestamp=BATCH_STAMP,
         sources=tuple(sources or SOURCES[spec.name]), **options)
-    files = FILES_PER_BATCH if split else None
+    files = max(log_files(spark, sf_dir, spec.name, s) for s in stream.sources) if split else None
     query = stream.start(file_log_stream(spark, log, [spec.name], max_files_per_trigger=files), sinks, ALL_NOW)
     query.awaitTermination()
     return stream, query
