@@ -3,7 +3,9 @@
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
+from unirec.operators import keys
 from unirec.operators.keys import best_key, discover_merge_keys, plausible
 from unirec.spec import CanonicalField, EntitySpec, FieldMapping
 
@@ -36,6 +38,27 @@ def test_pruning_and_empty_tables(spark):
     assert discover_merge_keys(df.limit(0)).count() == 0 and best_key(discover_merge_keys(df.select("few"))) is None
 
 
+def test_no_pass_takes_all_rows_of_a_set_that_repeats(spark, monkeypatch):
+    monkeypatch.setattr(keys, "SLICE_VALUES", 500)
+    df = spark.range(20_000).selectExpr("id DIV 2 AS a", "id % 1000 AS b", "id % 20000 AS c", "IF(id = 7, 8, id) AS d")
+    search = plausible(df, df.columns, 2)
+    # d repeats one value only, so only the check over all rows can find it.
+    assert set(next(search)[1]) <= {("c",), ("d",)}
+    assert search.send([("c",)])[0] == 2
+    values = keys._values(df, [("a", "b"), ("a", "d")], F.lit(40))
+    assert 0 < values.count() < 20_000 * 2 / 10
+    assert keys.without_repeats_in_slice(df, [("a",), ("c",)], 20_000) == [("c",)]
+    assert keys.without_repeats(df, [("d",), ("c",), ("a", "d"), ("b", "d")]) == [("c",), ("a", "d"), ("b", "d")]
+    assert [r["candidate"] for r in discover_merge_keys(df, most=1).collect()] == ["c"]
+
+
+def test_equal_numbers_with_other_bits_repeat(spark):
+    df = spark.createDataFrame([(0.0, 1), (-0.0, 1), (1.0, 2)], "x double, y int")
+    assert discover_merge_keys(df).count() == 0
+    nan = spark.range(2).selectExpr("double('NaN') AS x", "id")
+    assert [r["candidate"] for r in discover_merge_keys(nan).collect()] == ["id"]
+
+
 def test_spec_takes_the_found_keys(spark):
     spec = EntitySpec("item", (CanonicalField("order_id", "integer"), CanonicalField("line", "integer")),
                       sql_mappings=(FieldMapping("OrderNo", "order_id"), FieldMapping("LineNo", "line")))
