@@ -45,7 +45,7 @@ def _values(df: DataFrame, sets: Sequence[Columns], wanted: Column | None = None
         return row if wanted is None else F.when(F.pmod(F.col(f"h{i}"), wanted) == 0, row)
 
     each = F.array(*[one(i, s) for i, s in enumerate(sets)])
-    return rows.select(F.explode(each if wanted is None else F.array_compact(each)).alias("_p")).select("_p.*")
+    return rows.select(F.explode(each).alias("_p")).filter(F.col("_p").isNotNull()).select("_p.*")
 
 
 def _repeating(values: DataFrame, sets: Sequence[Columns]) -> set[Columns]:
