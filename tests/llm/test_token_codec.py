@@ -37,6 +37,38 @@ def test_a_remembered_piece_is_one_object():
     assert all(type(ids) is bytes and len(ids) % 4 == 0 for ids in kept)
 
 
+MARKED = ["a", "B7", "été", "x'", "'", "s", "ll", "ñ", "½", "<|endoftext|>", "<|", "|>", "_", "(", ".", "!", ">", "#", "*" * 20, "\n", "\n", " ", " ", "\t", "\x7f", "…"]
+
+
+def test_cuts_at_line_feeds_and_marks_give_the_ids_of_whole_texts():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(MARKED) for _ in range(rng.randrange(25))) for _ in range(6000)]
+    texts += ["\n", "a\n", "\na", "\n\n", "a\n\nb", "a\nb\nc\n", "a\t\t", "\t\tb", "a!" * 40, "a" + "!" * 40]
+    bpe, plain = ByteBpe(PATH, 500), Tokenizer.from_file(PATH)
+    for part in range(0, len(texts), 700):
+        ids, counts = bpe.encode(pa.array(texts[part:part + 700]))
+        ends = np.cumsum(counts)
+        for t, n, e in zip(texts[part:part + 700], counts, ends):
+            assert ids[e - n:e].tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_words_at_line_feeds_and_before_marks_are_encoded_once():
+    words = [f"word{chr(97 + i)}" for i in range(26)]
+    bpe = ByteBpe(PATH)
+    bpe.encode(pa.array([" ".join(f"{a}{m}\n{b}{m}" for a in words for b in words for m in (".", "!!", ",***"))]))
+    assert sum(map(len, bpe.known.values())) < 100  # 26 words after a space, 26 after a line feed, the first word, the marks
+
+
+def test_long_pieces_are_not_remembered():
+    texts = ["字" * 30000, "x" * 200 + " " + "y" * 50000, "short " + "字" * 40]
+    bpe, plain = ByteBpe(PATH), Tokenizer.from_file(PATH)
+    for _ in range(2):
+        ids, counts = bpe.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in plain.encode(t, add_special_tokens=False).ids]
+        assert counts.sum() == len(ids)
+    assert sum(len(ids) for known in bpe.known.values() for ids in known.values()) < 1000
+
+
 def test_code_lengths_are_optimal_and_limited():
     counts = {i: n for i, n in enumerate([1, 1, 2, 3, 5, 8, 13, 21, 34, 55])}
     free = code_lengths(counts, 20)

@@ -16,6 +16,7 @@ of their texts; extra columns are ignored; an empty table gives no blocks.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -40,19 +41,36 @@ HEADER = struct.Struct("<4sIQIQ")
 
 # A space beside another space or control character or at an end of the text, or white space beyond ASCII.
 UNEVEN = r"[\x00-\x20] | [\x00-\x20]|\A | \z|[\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-TAIL = frozenset(".,;:!?")
-SPARE = "."
 CACHE_PIECES = 700_000
+LONGEST_KEPT = 100  # bytes of a piece that is remembered
+ROW_BYTES = 1 << 15  # of pieces that are encoded in a row, and the last one
 ID = np.dtype("<u4")
+MARKS = 16  # at the end of a piece that is cut before them
+BLANK, LINE = 32, 10
+WORD = np.array([chr(b).isascii() and chr(b).isalnum() for b in range(256)])
+
+
+class Pieces:
+    """Pieces and their ids (little-endian u32), in two Arrow arrays: no object for each piece."""
+
+    def __init__(self):
+        self.texts = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def values(self) -> list[bytes]:
+        return self.ids.to_pylist()
 
 
 class ByteBpe:
-    """Ids of whole texts by the tokenizers library, each distinct piece of a batch encoded once.  The ids of a piece are kept as
-    one bytes object (little-endian u32): a list holds an object for each id and takes several times the memory.
+    """Ids of whole texts by the tokenizers library, each distinct piece of a batch encoded once.
 
-    Texts are cut before single spaces between two other characters, and between an ASCII letter and a punctuation
-    mark that ends a piece.  No match of the byte-level pattern crosses these places and none looks beyond them, so
-    the ids of the pieces in a row are the ids of the text.  Texts with any other space are encoded whole.
+    Texts are cut before single spaces between two other characters, before single line feeds after a character and
+    before another or the end, and between an ASCII letter or digit and the punctuation marks that end a piece.  No match
+    of the byte-level pattern crosses these places and none looks beyond them, so the ids of the pieces in a row are the
+    ids of the text.  Texts with any other space are encoded whole.
     """
 
     def __init__(self, path: str, cache: int = CACHE_PIECES):
@@ -61,66 +79,102 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # By whether a space comes before the piece.
-        self.known: dict[bool, dict[str, bytes]] = {True: {}, False: {"": b""}}
+        # By whether the piece begins with its space or line feed.
+        self.known = {True: Pieces(), False: Pieces()}
         # In the byte-level alphabet a token has one character for each byte.
         names = self.tokenizer.get_vocab()
         self.width = np.zeros(max(names.values()) + 1, np.int64)
         self.width[list(names.values())] = list(map(len, names))
-        self.tails = {mark: self.whole(mark).tobytes() for mark in TAIL}
+        # Added tokens are found before any pattern: their marks end no piece.
+        added = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.tail = np.isin(np.arange(256), [ord(c) for c in string.punctuation if c not in added])
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, ID)
 
-    def spaced_ids(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words with a space before each: a row of them is encoded at once and cut at the words' bytes."""
-        out = {}
-        for start in range(0, len(words), 2000):
-            part = words[start:start + 2000]
-            ids = self.whole(" " + " ".join(part))
-            ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in part), np.int64, len(part)))
-            cuts = (np.searchsorted(np.cumsum(self.width[ids]), ends) + 1) * ID.itemsize
-            data, begin = ids.tobytes(), 0
-            for w, end in zip(part, cuts.tolist()):
-                out[w] = data[begin:end]
-                begin = end
-        return out
-
-    def piece_ids(self, pieces: list[str], spaced: bool) -> list[bytes]:
-        """The cache keeps the words that came first; beyond its size, words are kept for one batch."""
-        known = self.known[spaced]
-        out = [known.get(p) for p in pieces]
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        bare = [pieces[i][:-1] if pieces[i][-1] in TAIL and pieces[i][-2:-1].isascii() and pieces[i][-2:-1].isalpha() else pieces[i] for i in missing]
-        wanted = [p for p in dict.fromkeys(bare) if p not in known]
-        new = self.spaced_ids(wanted) if spaced else {p: self.whole(p).tobytes() for p in wanted}
-        for i, p in zip(missing, bare):
-            ids = known.get(p)
-            ids = new[p] if ids is None else ids
-            out[i] = ids if len(p) == len(pieces[i]) else ids + self.tails[pieces[i][-1]]
+    def row_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that begin with one space or line feed and have other characters at both ends of the rest, and where
+        those of each end: a row of them is encoded at once and cut at the pieces' bytes."""
+        offsets, data = _bytes(pieces)
+        bounds = [*offsets[np.unique(offsets[:-1] // ROW_BYTES, return_index=True)[1]], offsets[-1]]
+        ids = np.concatenate([np.zeros(0, ID), *(self.whole(data[a:b].tobytes().decode()) for a, b in zip(bounds, bounds[1:]))])
+        return ids, np.searchsorted(np.cumsum(self.width[ids]), offsets[1:]) + 1
+
+    def new_ids(self, pieces: pa.Array, led: bool) -> pa.Array:
+        """Ids of each piece."""
+        offsets, data = _bytes(pieces)
+        odd = (data[offsets[1:] - 1] <= BLANK) | (data[np.minimum(offsets[:-1] + led, offsets[1:] - 1)] <= BLANK)
+        even = pieces.filter(pa.array(~odd))
+        ids, ends = self.row_ids(even if led else pc.binary_replace_slice(even, 0, 0, "\n"))
+        if not led:  # the line feed is one id
+            begin = np.append(0, ends)[:-1]
+            ids, ends = np.delete(ids, begin), ends - np.arange(1, len(ends) + 1)
+        if not odd.any():
+            return _binary(ids, ends)
+        alone = [self.whole(p) for p in pieces.filter(pa.array(odd)).to_pylist()]
+        both = pa.concat_arrays([_binary(ids, ends), _binary(np.concatenate(alone), np.cumsum(list(map(len, alone))))])
+        place = np.empty(len(pieces), np.int64)
+        place[np.append(np.flatnonzero(~odd), np.flatnonzero(odd))] = np.arange(len(pieces))
+        return both.take(pa.array(place))
+
+    def piece_ids(self, pieces: pa.Array, led: bool) -> pa.Array:
+        """Ids of distinct pieces.  Short ones that came first are remembered; others, and those beyond the cache's size, for one
+        batch."""
+        known = self.known[led]
+        found = pc.index_in(pieces, value_set=known.texts)
+        missing = pieces.filter(pc.is_null(found))
+        if not len(missing):
+            return known.ids.take(found)
+        new = self.new_ids(missing, led)
+        ids = pa.concat_arrays([known.ids, new])
+        place = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = np.arange(len(known), len(ids))
         if len(known) < self.cache:
-            known.update(new)
-        return out
+            short = pc.less_equal(pc.binary_length(missing), LONGEST_KEPT)
+            known.texts, known.ids = (pa.concat_arrays([kept, more.filter(short)]) for kept, more in ((known.texts, missing), (known.ids, new)))
+        return ids.take(pa.array(place))
+
+    def cuts(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Where the pieces of the texts begin, and the end of the last one."""
+        edge = np.append(data, np.uint8(0))  # no text goes on there
+        ends, last = offsets[1:], len(data)
+        lines = np.flatnonzero(data == LINE)
+        text = np.searchsorted(offsets, lines, "right")
+        closes = ends[text - 1] == lines + 1
+        lines = lines[(lines > offsets[text - 1]) & (edge[lines - 1] > BLANK) & (closes | (edge[lines + 1] > BLANK))]
+        firsts = offsets[:-1][offsets[:-1] < ends]
+        begin = np.concatenate([firsts, np.flatnonzero(data == BLANK), lines])
+        begin.sort(kind="stable")
+        # Marks at the end of a piece, back to a letter or digit; after more marks nothing is cut.
+        at = np.append(begin[1:], last)[:len(begin)] - 1
+        some = np.flatnonzero(self.tail[data[at]])
+        at, floor, tails = at[some], begin[some], []
+        for _ in range(MARKS):
+            before = data[at - 1]
+            inside = at > floor
+            tails.append(at[inside & WORD[before]])
+            on = inside & self.tail[before]
+            at, floor = at[on] - 1, floor[on]
+        cuts = np.concatenate([begin, *tails, [last]])
+        cuts.sort(kind="stable")
+        return cuts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Returns the ids of all texts in a row and the number of ids of each text."""
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         whole = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
-        plain = texts if not whole.any() else pc.if_else(pa.array(whole), "", texts)
-        lists = pc.split_pattern(plain, " ")
-        flat, first = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        heads = flat.take(pa.array(first[:-1])).dictionary_encode()
-        coded = pc.if_else(pc.equal(pc.binary_length(flat), 0), SPARE, flat).dictionary_encode()  # only a text may be empty
-        # The first piece of a text has no space before it, the others have.
-        code = coded.indices.to_numpy(zero_copy_only=False).copy()
-        code[first[:-1]] = len(coded.dictionary) + heads.indices.to_numpy(zero_copy_only=False)
-        ids = self.piece_ids(coded.dictionary.to_pylist(), True) + self.piece_ids(heads.dictionary.to_pylist(), False)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // ID.itemsize
-        begin = np.cumsum(size) - size
-        bank = np.frombuffer(b"".join(ids), ID)
-        per = size[code]
-        out = bank[_ranges(begin[code], per)]
-        ends = np.append(0, np.cumsum(per))[first]
+        offsets, data = _bytes(texts if not whole.any() else pc.if_else(pa.array(whole), "", texts))
+        cuts = self.cuts(offsets, data)
+        coded = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
+        pieces = coded.dictionary
+        begin, letters = _bytes(pieces)
+        led = np.isin(letters[begin[:-1]], [BLANK, LINE])
+        ids = pa.concat_arrays([self.piece_ids(pieces.filter(pa.array(led == kind)), kind) for kind in (True, False)])
+        place = np.empty(len(pieces), np.int64)
+        place[np.append(np.flatnonzero(led), np.flatnonzero(~led))] = np.arange(len(pieces))
+        ends, out = _bytes(ids.take(pa.array(place)).take(coded.indices))
+        out = out.view(ID)
+        ends = ends[np.searchsorted(cuts, offsets)] // ID.itemsize
         counts = np.diff(ends)
         if whole.any():
             parts = [out[a:b] for a, b in zip(ends[:-1], ends[1:])]
@@ -131,10 +185,16 @@ class ByteBpe:
         return out, counts
 
 
-def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """begin[0] .. begin[0]+size[0]-1, begin[1] .. and so on."""
-    ends = np.cumsum(size)
-    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 and bytes of a large binary or string array."""
+    _, offsets, data = values.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[values.offset:values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    return offsets - offsets[0], np.frombuffer(data or b"", np.uint8)[offsets[0]:offsets[-1]]
+
+
+def _binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = np.append(0, ends) * ID.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids.astype(ID))])
 
 
 @lru_cache(maxsize=2)
@@ -248,8 +308,7 @@ def unpack_block(book: Codebook, block: bytes) -> tuple[np.ndarray, np.ndarray,
 # --- Spark ------------------------------------------------------------------------------------------------------
 
 SLICE = 512  # rows of a batch that are worked on at a time
-ENCODED_ROWS = 3000  # more, so that a word is met more often in a batch
-ENCODED_BYTES = 16 << 20
+ENCODED_BYTES = 8 << 20  # of texts that are tokenised at a time: a word is met more often in a larger batch
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, cache: int = CACHE_PIECES) -> DataFrame:
@@ -261,12 +320,11 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, cache: int = CAC
         kind = np.uint16 if bpe.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         before = 0
         for whole in batches:
-            for batch in by_bytes(whole, 1, ENCODED_BYTES, ENCODED_ROWS):
+            for batch in by_bytes(whole, 1, ENCODED_BYTES):
                 ids, counts = bpe.encode(batch.column(1))
                 n = len(counts)
                 ends = np.cumsum(counts + 1)
-                out = np.full(int(ends[-1]), end_id, kind)
-                out[_ranges(ends - counts - 1, counts)] = ids
+                out = np.insert(ids.astype(kind), np.cumsum(counts), end_id)
                 offsets = np.append(0, ends) * out.itemsize
                 data = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)])
                 starts = before + ends - counts - 1
