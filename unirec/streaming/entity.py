@@ -9,13 +9,12 @@ from datetime import date
 from functools import cached_property, reduce
 from operator import or_
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from unirec.functions.shared import child_names, path_exists, write_text
+from unirec.functions.shared import child_names, path_exists, remove, write_text
 from unirec.operators.mapping import STRICT, apply_canonical_mapping, expand_canonical_fields
 from unirec.operators.upsert import ARRIVAL
 from unirec.sinks import raw, warehouse
@@ -88,12 +87,27 @@ class EntityStream:
         folder = raw.batch_folder(self.folder("dead_letters"), self.run, batch_id)
         dead_letters(decoded).write.mode("overwrite").parquet(folder)
 
+    def staged(self, batch: DataFrame, folder: str, sinks: Sequence[str]) -> DataFrame:
+        """The batch in files, with what the sinks take of it, read back.
+
+        A cache holds thousands of whole rows as one object, and a hundred such objects while it writes them out, so wide
+        rows can need more than an executor has; a writer of files needs no more for more or wider rows.  Bytes stay of
+        dead letters only, and where no sink writes the id it only tells that there is one.
+        """
+        dead = is_dead_letter()
+        if "raw" in sinks:
+            rows = batch.withColumn("raw_value", F.when(dead, F.col("raw_value")))
+        else:
+            rows = batch.drop("payload", "raw_value", "raw_topic", "kafka_timestamp").withColumn("event_id", F.when(~dead, F.lit("")))
+        rows.write.mode("overwrite").parquet(folder)
+        return batch.sparkSession.read.schema(rows.schema).parquet(folder)
+
     def write_batch(self, batch: DataFrame, batch_id: int, sinks: Sequence[str]) -> dict[str, int]:
         """One batch into the sinks, and their record moved once: no reader sees it in some of them only.
 
         A batch that fails in between has moved nothing; its rows are replaced when it is repeated.
         """
-        counts = self.count_rows(batch, sinks)  # fills the cache, so no writer reads the source again
+        counts = self.count_rows(batch, sinks)
         if not counts["input"]:
             return counts
         commits = self.commits("_".join(s for s in SINKS if s in sinks))
@@ -213,13 +227,14 @@ class EntityStream:
         interval = WAREHOUSE_TRIGGER if set(sinks) == {"warehouse"} else LAKE_TRIGGER
 
         def run_batch(batch: DataFrame, batch_id: int) -> None:
-            kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            folder = raw.batch_folder(f"{self.folder('staged')}/query={name}", self.run, batch_id)
             try:
+                kept = self.staged(batch, folder, sinks)  # so no writer reads the source again
                 counts = self.write_batch(kept, batch_id, sinks)
                 if counts["input"]:
                     self.write_counts(counts, name, batch_id)
             finally:
-                kept.unpersist()
+                remove(self.spark, folder)
 
         return (
             plan.writeStream.queryName(f"{name}_{self.spec.name}_{self.run}")
