@@ -75,3 +75,19 @@ def test_a_failed_batch_leaves_no_files_behind(spark):
     with pytest.raises(Exception, match="division"):
         query.awaitTermination()
     assert staged(spark, stream) == []
+
+
+def test_of_equal_events_the_first_in_the_log_stays(spark):
+    """The larger file of the log is read first; what is staged of it is the smaller one."""
+    folder, n = new_folder(spark, "own-ties"), 30
+    for name, unused in (("long" * 200, ""), ("kept", "unused" * 2_000)):
+        rows = spark.range(1, n + 1).select(
+            "id", F.concat(F.lit(name), F.sha2(F.col("id").cast("string"), 256)).alias("name"), F.lit(None).cast("timestamp").alias("updated_at"),
+            F.concat(F.lit(unused), F.sha2(F.lit(name), 256)).alias("remark"))
+        events = encode_events(rows, "postgres", "customer", event_time=F.col("updated_at"), key=F.col("id"))
+        as_log(events).coalesce(1).write.mode("append").option("compression", "none").partitionBy("topic").parquet(f"{folder}/log")
+    stream = EntityStream(spark, CUSTOMER, new_folder(spark, "staged-test"), ingest_date=INGEST_DATE)
+    stream.start(file_log_stream(spark, f"{folder}/log", ["customer"]), ["canonical"], {"availableNow": True}).awaitTermination()
+    rows = stream.read_canonical()
+    assert [r[0] for r in rows.select(F.substring("name", 1, 4)).distinct().collect()] == ["KEPT"] and rows.count() == n
+    assert "_place" not in rows.columns

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "_rank"
+# Number of a row in its batch, where it has one: of rows that no order tells apart the first stays.
+PLACE = "_place"
 
 
 def event_instant(column: str = "_event_timestamp") -> Column:

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from unirec.functions.values import (
     JsonValue, kind_of, lenient_text, no_value, string_token, text_of,
 )
+from unirec.operators.latest import PLACE
 from unirec.spec import OTHER_MAPPINGS, SOURCE_MAPPINGS, EntitySpec
 
 STRICT = "strict"
@@ -421,7 +422,7 @@ def expand_canonical_fields(
     position = []
     if keep_position and {"kafka_partition", "kafka_offset"} <= set(df.columns):
         position = [F.col("kafka_partition").alias("_partition"), F.col("kafka_offset").alias("_offset")]
-    errors = [F.col("_errors")] if "_errors" in df.columns else []
+    carried = [F.col(c) for c in ("_errors", PLACE) if c in df.columns]
     return df.select(
         *[F.col("canonical")[f.name].alias(f.name) for f in spec.fields],
         F.col("source").alias("_source"),
@@ -430,7 +431,7 @@ def expand_canonical_fields(
         ingest_date.alias("_ingest_date"),
         F.lit(True).alias("_is_golden"),
         *position,
-        *errors,
+        *carried,
     )
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from unirec.functions.shared import child_names, path_exists, remove
-from unirec.operators.latest import event_order, latest_per_key
+from unirec.operators.latest import PLACE, event_order, latest_per_key
 from unirec.operators.survivorship import Survivorship, field_states, golden_records, newer_column
 from unirec.operators.upsert import (
     ARRIVAL, DELETE_POLICIES, DELETED, EVENT_TIME, has_null_key, mark_deleted, overlay_rows, split_null_keys, visible_rows,
@@ -150,7 +150,7 @@ class GoldenTable:
         changes.write.mode("overwrite").parquet(batch_folder(f"{self.path}/changes", run, batch_id))
         aside = batch_folder(f"{self.path}/quarantine", run, batch_id)
         if nulls.get["n"]:
-            split_null_keys(batch, self.keys)[1].write.mode("overwrite").parquet(aside)
+            split_null_keys(batch.drop(PLACE), self.keys)[1].write.mode("overwrite").parquet(aside)
         elif now.batch == (run, batch_id):
             remove(self.spark, aside)
         beyond = {b for b in hits.get["hit"] if now.fold(b) is None or now.fold(b) < (run, batch_id)}
@@ -159,7 +159,8 @@ class GoldenTable:
     # What the tables differ in: the row of a key that stays inside a batch, in the log, and over the base.
 
     def _newest(self, batch: DataFrame) -> DataFrame:
-        return latest_per_key(mark_deleted(batch, self.delete_policy), self.keys, event_order(batch))
+        first = [-F.col(PLACE)] if PLACE in batch.columns else []
+        return latest_per_key(mark_deleted(batch, self.delete_policy), self.keys, [*event_order(batch), *first])
 
     def _newest_change(self, log: DataFrame) -> DataFrame:
         return latest_per_key(log, self.keys, self._order(log))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from unirec.functions.shared import child_names, path_exists, remove, write_text
+from unirec.operators.latest import PLACE
 from unirec.operators.mapping import STRICT, apply_canonical_mapping, expand_canonical_fields
 from unirec.operators.upsert import ARRIVAL
 from unirec.sinks import raw, warehouse
@@ -99,6 +100,7 @@ class EntityStream:
             rows = batch.withColumn("raw_value", F.when(dead, F.col("raw_value")))
         else:
             rows = batch.drop("payload", "raw_value", "raw_topic", "kafka_timestamp").withColumn("event_id", F.when(~dead, F.lit("")))
+        rows = rows.withColumn(PLACE, F.monotonically_increasing_id())  # files are read back in any order
         rows.write.mode("overwrite").parquet(folder)
         return batch.sparkSession.read.schema(rows.schema).parquet(folder)
 
